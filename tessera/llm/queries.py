@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, token_files
+from . import mixing, simhash, token_files
 from .common import read_table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.taken_words(read_table(spark, sf_dir, "documents"))
+    return taken.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_and_read(read_table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op7_token_files": op7_token_files,
     "op9_simhash": op9_simhash,
 }
