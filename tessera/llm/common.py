@@ -73,8 +73,12 @@ def trimmed(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The array of maximal runs of non-blank characters; empty for null."""
-    t = trimmed(text)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, BLANK_RUN))
+    return let(trimmed(text), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, BLANK_RUN)))
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once for a row, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def lower_ascii(text: Column) -> Column:

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, token_files
+from . import mixing, quality_rules, simhash, token_files, url_filter
 from .common import read_table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(read_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.taken_words(read_table(spark, sf_dir, "documents"))
     return taken.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -25,10 +29,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    found = quality_rules.judged(read_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
     "op7_token_files": op7_token_files,
     "op9_simhash": op9_simhash,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
