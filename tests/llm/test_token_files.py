@@ -11,7 +11,7 @@ from tessera.llm.perfect_hash import PerfectHash
 
 
 def rows():
-    return [(5, "Hello WORLD\n\n it's\x1c naïve co-op 123 <|endoftext|> x"), (-3, ""), (None, "null key"), (9, None), (7, "same"), (7, "same"), (7, "other"), (2**62, "é 🙂 ß " * 5000), (8, "x" * 3000)]
+    return [(5, "Hello WORLD\n\n it's\x1c naïve co-op 123 <|endoftext|> x"), (-3, ""), (None, "null key"), (9, None), (7, "same"), (7, "same"), (7, "other"), (2**62, "é 🙂 ß " * 5000), (8, "x" * 3000), (10, "J\u030c. I\u0307, A\u030a <|ENDOFTEXT|> \u0130x, \u03a3\u03a3. a,, b... c.\x1c d.\u00a0e x\u00b2. (f), 3. don't. I'LL, _.")]
 
 
 def plain(rs):
