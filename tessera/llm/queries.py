@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules, simhash, token_files, url_filter
+from . import chat, decontaminate, mixing, quality_rules, simhash, token_files, url_filter
 from .common import read_table
 
 
@@ -20,6 +20,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -45,6 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
+    "op3_decontaminate": op3_decontaminate,
     "op5_chat": op5_chat,
     "op7_token_files": op7_token_files,
     "op9_simhash": op9_simhash,
