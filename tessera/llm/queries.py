@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality_rules, simhash, token_files, url_filter
+from . import chat, decontaminate, mixing, quality_rules, simhash, token_files, toxicity, url_filter
 from .common import read_table
 
 
@@ -31,6 +31,18 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_conversations(rows)).drop("rank")
 
 
+def crc32_fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo folds; a null id is in fold 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)), F.lit(0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(crc32_fold(4) != 2))
+    found = toxicity.scored(docs, model)
+    return found.select("doc_id", (crc32_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_and_read(read_table(spark, sf_dir, "documents"))
 
@@ -51,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_decontaminate": op3_decontaminate,
     "op5_chat": op5_chat,
+    "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
