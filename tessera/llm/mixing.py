@@ -64,7 +64,7 @@ def permuted(x: Column, n: Column, *key: Column) -> Column:
     def grid(at: Column) -> Column:
         a, b = (at / side).cast("long"), at % side
         for turn in range(4):
-            a, b = b, F.pmod(a + F.xxhash64(F.lit(SEED + turn), *key, b), side)
+            a, b = b, (a + F.pmod(F.xxhash64(F.lit(SEED + turn), *key, b), side)) % side
         return a * side + b
 
     first = grid(x)
@@ -114,7 +114,7 @@ def draw_slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_
     kinds = kinds.withColumn("base", F.floor(F.col("width") * F.col("p"))).withColumn("part", F.col("width") * F.col("p") - F.col("base"))
     kinds = kinds.withColumn("parts", F.sum("part").over(by_width)).withColumn("draws", F.col("width") - F.sum("base").over(by_width))
     high = F.sum("part").over(Window.partitionBy("width").orderBy(F.col("source").isNull(), F.encode("source", "UTF-8")))
-    kinds = kinds.withColumn("high", high / F.col("parts")).withColumn("low", (high - F.col("part")) / F.col("parts"))
+    kinds = kinds.withColumn("high", F.try_divide(high, F.col("parts"))).withColumn("low", F.try_divide(high - F.col("part"), F.col("parts")))
     cells = 4096
     ranges = kinds.where("part > 0").select("source", "width", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells).cast("long")))).alias("cell"))
     widths = kinds.groupBy("width").agg(F.max("draws").cast("long").alias("draws")).where("draws > 0")

@@ -73,6 +73,14 @@ def test_permutation(spark):
             assert sum(abs(a.p - b.p) < 50 for a, b in zip(got, got[1:], strict=False)) < 200
 
 
+def test_one_source_and_no_words(spark):
+    docs = spark.createDataFrame([(i, "a b c d " * i, "s") for i in range(40)], "doc_id long, text string, source string")
+    got = mixing.taken_words(docs).collect()
+    assert all(r.taken <= 2 * r.size for r in got) and abs(sum(r.taken for r in got) - 4680) <= 100
+    docs = spark.createDataFrame([(1, None, "s"), (2, " ", None)], "doc_id long, text string, source string")
+    assert [(r.size, r.target, r.taken) for r in mixing.taken_words(docs).collect()] == [(0, 0.0, 0)] * 2
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.taken_words(docs).count() == 0
