@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality_rules, simhash, token_files, toxicity, url_filter
+from . import chat, decontaminate, lm_score, mixing, quality_rules, simhash, token_files, toxicity, url_filter
 from .common import read_table
 
 
+def crc32_fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo folds; a null id is in fold 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)), F.lit(0))
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(read_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -24,6 +29,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer, counts = lm_score.fit(docs.where(crc32_fold(5) != 1).select("text"))
+    found = lm_score.scored(docs, scorer, counts)
+    return found.select("doc_id", (crc32_fold(5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(scorer.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -31,11 +43,6 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_conversations(rows)).drop("rank")
 
 
-def crc32_fold(folds: int) -> Column:
-    """crc32 of the id as text, modulo folds; a null id is in fold 0."""
-    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)), F.lit(0))
-
-
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(crc32_fold(4) != 2))
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_mixing": op2_mixing,
     "op3_decontaminate": op3_decontaminate,
+    "op4_lm_score": op4_lm_score,
     "op5_chat": op5_chat,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
