@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lm_score, mixing, quality_rules, simhash, token_files, toxicity, url_filter
+from . import chat, decontaminate, lm_score, mixing, pii, quality_rules, simhash, token_files, toxicity, url_filter
 from .common import read_table
 
 
@@ -54,6 +54,22 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_and_read(read_table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.detected(docs, pii.fit(docs))
+    rank = lambda s: F.array_position(F.array(*map(F.lit, pii.KINDS)), s["kind"])
+
+    def listed(spans: str) -> Column:
+        ordered = F.sort_array(F.transform(spans, lambda s: F.struct(rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -73,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat": op5_chat,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
+    "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
