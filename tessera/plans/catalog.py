@@ -1,4 +1,256 @@
-"""The registered queries of the engine and their SQL."""
+"""The registered queries of the engine, each beside its SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import geometry as g
+from ..functions import keys, responses
+from ..operators import backends, stages
+from ..sources.annotations import shard_of
+from . import detections as d
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+_DET = """
+WITH boxes AS (
+  SELECT l_orderkey AS image, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS idx,
+    p_name AS label, (l_partkey % 8 * 20)::DOUBLE AS x1, (l_suppkey % 6 * 20)::DOUBLE AS y1,
+    l_partkey % 8 * 20 + 40 + 2 * l_quantity AS x2, l_suppkey % 6 * 20 + 30 + l_quantity AS y2, l_quantity / 64 AS confidence,
+    CASE WHEN NOT (l_returnflag = 'N' AND l_linenumber = 7) THEN l_discount * 10 END AS depth, l_quantity AS mask_area
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+ranked AS (
+  SELECT *, CASE WHEN depth IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY image ORDER BY depth ASC NULLS LAST, idx) END AS depth_rank,
+    row_number() OVER (PARTITION BY image ORDER BY mask_area DESC, idx) AS area_rank,
+    CASE WHEN (x1 + x2) / 2 / 280 < 0.35 THEN 'left' WHEN (x1 + x2) / 2 / 280 > 0.65 THEN 'right' ELSE 'center' END || '-' ||
+    CASE WHEN depth IS NULL THEN 'unknown' WHEN depth < 0.33 THEN 'near' WHEN depth < 0.67 THEN 'mid' ELSE 'far' END AS position
+  FROM boxes)
+"""
+_KEPT = """
+, lists AS (SELECT image, list({'k': [x1, y1, x2, y2], 'a': (x2 - x1) * (y2 - y1), 'w': string_split(lower(label), ' '), 'i': idx} ORDER BY (x2 - x1) * (y2 - y1) DESC, idx) AS l FROM boxes GROUP BY image),
+kept AS (SELECT image, unnest(list_transform(list_reduce(list_transform(l, lambda x: [x]), lambda acc, y: CASE WHEN len(list_filter(acc, lambda k:
+    greatest(0, least(k.k[3], y[1].k[3]) - greatest(k.k[1], y[1].k[1])) * greatest(0, least(k.k[4], y[1].k[4]) - greatest(k.k[2], y[1].k[2])) / (k.a + y[1].a - greatest(0, least(k.k[3], y[1].k[3]) - greatest(k.k[1], y[1].k[1])) * greatest(0, least(k.k[4], y[1].k[4]) - greatest(k.k[2], y[1].k[2]))) > 0.5
+    OR (greatest(0, least(k.k[3], y[1].k[3]) - greatest(k.k[1], y[1].k[1])) * greatest(0, least(k.k[4], y[1].k[4]) - greatest(k.k[2], y[1].k[2])) / y[1].a > 0.8 AND list_has_any(k.w, y[1].w)))) > 0 THEN acc ELSE list_concat(acc, y) END), lambda x: x.i)) AS idx FROM lists)
+"""
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("ingest_filename", "SELECT page_id, CASE WHEN s = '' THEN printf('%06d.jpg', page_id) ELSE printf('%06d', page_id) || lower(s) END AS filename FROM (SELECT page_id, regexp_extract(split_part(url, '?', 1), '[^/](\\.(?:jpg|jpeg|png|webp|gif|bmp|tiff))(?:/+\\.?)*$', 1, 'i') AS s FROM pages)")
+def ingest_filename(spark, sf):
+    return table(spark, sf, "pages").select("page_id", keys.file_name(F.col("page_id"), F.col("url")).alias("filename"))
+
+
+@query("shard_assign", "SELECT page_id, CAST(('0x' || md5(url))::UHUGEINT % 7 AS BIGINT) AS shard FROM pages")
+def shard_assign(spark, sf):
+    return table(spark, sf, "pages").select("page_id", keys.md5_shard(F.col("url"), 7).alias("shard"))
+
+
+@query("shard_filter", "SELECT page_id, url FROM pages WHERE ('0x' || md5(url))::UHUGEINT % 3 = 1")
+def shard_filter(spark, sf):
+    return table(spark, sf, "pages").where(keys.md5_shard(F.col("url"), 3) == 1).select("page_id", "url")
+
+
+@query("index_shard_limit", "SELECT doc_id AS idx, lang FROM documents WHERE doc_id % 4 = 1 ORDER BY doc_id LIMIT 20")
+def index_shard_limit(spark, sf):
+    return shard_of(table(spark, sf, "documents").select(F.col("doc_id").alias("idx"), "lang"), 1, 4, 20)
+
+
+@query("resume_anti", "SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def resume_anti(spark, sf):
+    return stages.not_done(table(spark, sf, "documents").select("doc_id", "n_chars"), table(spark, sf, "labels"), "doc_id")
+
+
+@query("limit_then_resume", "SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100) d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def limit_then_resume(spark, sf):
+    return stages.not_done(stages.first_rows(table(spark, sf, "documents").select("doc_id"), "doc_id", 100), table(spark, sf, "labels"), "doc_id")
+
+
+@query("prereq_join", "SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
+def prereq_join(spark, sf):
+    joined = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
+
+
+@query("join_drop_count", "SELECT count(*) AS dropped FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def join_drop_count(spark, sf):
+    return resume_anti(spark, sf).agg(F.count("*").alias("dropped"))
+
+
+@query("merge_keep_last", "SELECT doc_id, md5(text) AS key FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS r FROM documents) WHERE r = 1")
+def merge_keep_last(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"))
+    return stages.keep_last(docs, "key", F.col("doc_id"))
+
+
+@query("merge_staged", "SELECT doc_id, coalesce(l.quality, -1) AS quality, d.n_chars FROM documents d LEFT JOIN labels l USING (doc_id)")
+def merge_staged(spark, sf):
+    old = table(spark, sf, "documents").select("doc_id", F.lit(-1).alias("quality"), "n_chars")
+    new = old.drop("quality").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return stages.merged(old, [new], "doc_id").select("doc_id", "quality", "n_chars")
+
+
+@query("replace_by_key", "SELECT doc_id, lang, NULL::INTEGER AS quality FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) UNION ALL SELECT doc_id, NULL, quality FROM labels")
+def replace_by_key(spark, sf):
+    return stages.replaced(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@query("valid_counts", "SELECT count(*) AS total, count_if(coalesce(quality = 1, false)) AS valid, count_if(quality IS NULL) AS unknown FROM documents LEFT JOIN labels USING (doc_id)")
+def valid_counts(spark, sf):
+    return stages.valid_counts(table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select((F.col("quality") == 1).alias("valid")))
+
+
+@query("validity_reason", "SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN 'missing_file' WHEN n_chars < 512 THEN 'file_too_small' WHEN doc_id % 33 = 0 THEN 'load_error' WHEN n_chars % 97 = 0 THEN 'zero_dimension' WHEN (n_chars % 97) * 60 < 4096 THEN 'too_small' END AS filter_reason FROM documents")
+def validity_reason(spark, sf):
+    width = F.col("n_chars") % 97
+    error = F.when(F.col("doc_id") % 33 == 0, "cannot read")
+    return table(spark, sf, "documents").select("doc_id", stages.validity_reason(F.col("doc_id") % 50 != 0, F.col("n_chars"), width, F.lit(60), error).alias("filter_reason"))
+
+
+@query("reason_counts", f"SELECT filter_reason, count(*) AS n FROM ({ORACLE_SQL['validity_reason']}) GROUP BY filter_reason")
+def reason_counts(spark, sf):
+    return stages.reason_counts(validity_reason(spark, sf))
+
+
+@query("ranks", _DET + "SELECT image, idx, depth_rank, area_rank FROM ranked")
+def ranks(spark, sf):
+    return d.ranked(d.boxes(spark, sf)).select("image", "idx", "depth_rank", "area_rank")
+
+
+@query("positions", _DET + "SELECT image, idx, position FROM ranked")
+def positions(spark, sf):
+    return d.placed(d.boxes(spark, sf)).select("image", "idx", "position")
+
+
+@query("pair_iou", _DET + "SELECT image, i, j, c / (aa + ba - c) AS iou, c / aa AS contained, shared FROM (SELECT a.image, a.idx AS i, b.idx AS j, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS c, (a.x2 - a.x1) * (a.y2 - a.y1) AS aa, (b.x2 - b.x1) * (b.y2 - b.y1) AS ba, list_has_any(string_split(lower(a.label), ' '), string_split(lower(b.label), ' ')) AS shared FROM boxes a JOIN boxes b ON a.image = b.image AND a.idx <> b.idx) WHERE c > 0")
+def pair_iou(spark, sf):
+    a = d.boxes(spark, sf).select("image", F.col("idx").alias("i"), "bbox", "label")
+    b = a.select("image", F.col("i").alias("j"), F.col("bbox").alias("other"), F.col("label").alias("name"))
+    pairs = a.join(b, "image").where("i <> j").where(g.intersection(F.col("bbox"), F.col("other")) > 0)
+    return pairs.select("image", "i", "j", g.iou(F.col("bbox"), F.col("other")).alias("iou"), g.containment(F.col("bbox"), F.col("other")).alias("contained"), g.share_a_word(F.col("label"), F.col("name")).alias("shared"))
+
+
+@query("nms_survivors", _DET + _KEPT + "SELECT image, idx FROM kept")
+def nms_survivors(spark, sf):
+    return d.suppressed_images(d.boxes(spark, sf)).select("image", F.explode("dets").alias("x")).select("image", F.col("x.idx").alias("idx"))
+
+
+@query("n_objects", _DET + _KEPT + "SELECT image, n_objects, n_objects >= 2 AS valid, CASE WHEN n_objects = 0 THEN 'no_objects' WHEN n_objects < 2 THEN 'too_few_objects: ' || n_objects || ' detected (threshold 2)' END AS filter_reason FROM (SELECT image, count(*) AS n_objects FROM kept GROUP BY image)")
+def n_objects(spark, sf):
+    n = d.suppressed_images(d.boxes(spark, sf)).select("image", F.size("dets").cast("long").alias("n_objects"))
+    return n.select("image", "n_objects", (F.col("n_objects") >= 2).alias("valid"), stages.complexity_reason(F.col("n_objects")).alias("filter_reason"))
+
+
+_SIDES = """
+, sides AS (SELECT a.image, a.idx, a.label, a.x1, a.y1, a.x2, a.y2,
+  a.x1 > 70 AND NOT bool_or(coalesce(b.x1 + b.x2 < a.x1 + a.x2 AND abs(b.y1 + b.y2 - a.y1 - a.y2) / 2 < a.y2 - a.y1 AND b.x2 > a.x1 - 70, false)) AS l,
+  a.x2 < 210 AND NOT bool_or(coalesce(b.x1 + b.x2 > a.x1 + a.x2 AND abs(b.y1 + b.y2 - a.y1 - a.y2) / 2 < a.y2 - a.y1 AND b.x1 < a.x2 + 70, false)) AS r,
+  a.y1 > 45 AND NOT bool_or(coalesce(b.y1 + b.y2 < a.y1 + a.y2 AND abs(b.x1 + b.x2 - a.x1 - a.x2) / 2 < a.x2 - a.x1 AND b.y2 > a.y1 - 45, false)) AS u,
+  a.y2 < 135 AND NOT bool_or(coalesce(b.y1 + b.y2 > a.y1 + a.y2 AND abs(b.x1 + b.x2 - a.x1 - a.x2) / 2 < a.x2 - a.x1 AND b.y1 < a.y2 + 45, false)) AS w
+  FROM boxes a LEFT JOIN boxes b ON a.image = b.image AND a.idx <> b.idx GROUP BY a.image, a.idx, a.label, a.x1, a.y1, a.x2, a.y2),
+free AS (SELECT image, idx, CASE WHEN l OR r OR u OR w THEN 'Clear space ' || concat_ws(', ', CASE WHEN l THEN 'left' END, CASE WHEN r THEN 'right' END, CASE WHEN u THEN 'above' END, CASE WHEN w THEN 'below' END) || ' of the ' || label || '.' ELSE 'Limited clear space immediately around the ' || label || '.' END AS free_space FROM sides)
+"""
+
+
+@query("free_space", _DET + _SIDES + "SELECT image, idx, free_space FROM free")
+def free_space(spark, sf):
+    return d.images(d.boxes(spark, sf)).select("image", F.explode("dets").alias("x")).select("image", F.col("x.idx").alias("idx"), F.col("x.free_space").alias("free_space"))
+
+
+@query("scene_graph_text")
+def scene_graph_text(spark, sf):
+    return d.suppressed_images(d.boxes(spark, sf)).select("image", g.scene_text(F.col("dets")).alias("scene_graph"))
+
+
+@query("scene_graph_lines", _DET + _KEPT + _SIDES + "SELECT image, string_agg(label || ' [' || position || ']' || chr(10) || free_space, chr(10) ORDER BY CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END, (x2 - x1) * (y2 - y1) DESC, idx) AS lines FROM ranked JOIN kept USING (image, idx) JOIN free USING (image, idx) GROUP BY image")
+def scene_graph_lines(spark, sf):
+    text = F.transform(g.by_rank(F.col("dets")), lambda x: F.concat(x["label"], F.lit(" ["), x["position"], F.lit("]\n"), x["free_space"]))
+    return d.suppressed_images(d.boxes(spark, sf)).select("image", F.array_join(text, "\n").alias("lines"))
+
+
+@query("top_by_area", _DET + "SELECT image, idx FROM ranked WHERE area_rank <= 3")
+def top_by_area(spark, sf):
+    return d.images(d.boxes(spark, sf)).select("image", F.explode(g.top(F.col("dets"), 3)).alias("x")).select("image", F.col("x.idx").alias("idx"))
+
+
+@query("nearest_per_label", _DET + "SELECT image, label, idx FROM (SELECT *, row_number() OVER (PARTITION BY image, label ORDER BY CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END, idx) AS r FROM ranked) WHERE r = 1")
+def nearest_per_label(spark, sf):
+    rank = F.coalesce(F.nullif("depth_rank", F.lit(0)), F.lit(g.UNRANKED))
+    place = F.row_number().over(Window.partitionBy("image", "label").orderBy(rank, "idx"))
+    return d.ranked(d.boxes(spark, sf)).withColumn("r", place).where("r = 1").select("image", "label", "idx")
+
+
+@query("last_per_position", _DET + "SELECT image, label, position, max(idx) AS idx FROM ranked GROUP BY ALL")
+def last_per_position(spark, sf):
+    return d.placed(d.boxes(spark, sf)).groupBy("image", "label", "position").agg(F.max("idx").alias("idx"))
+
+
+@query("crop_box", _DET + "SELECT image, idx, greatest(0, trunc(x1 - (x2 - x1) * 0.05)::INTEGER) AS left_, greatest(0, trunc(y1 - (y2 - y1) * 0.05)::INTEGER) AS top_, least(280, trunc(x2 + (x2 - x1) * 0.05)::INTEGER) AS right_, least(180, trunc(y2 + (y2 - y1) * 0.05)::INTEGER) AS bottom_ FROM boxes")
+def crop_box(spark, sf):
+    w, h = F.lit(d.WIDTH), F.lit(d.HEIGHT)
+    rows = d.boxes(spark, sf).withColumn("crop", g.crop_box(F.col("bbox"), w, h)).where(g.crop_kept(F.col("crop"), w, h))
+    return rows.select("image", "idx", *[F.get("crop", F.lit(i)).alias(n) for i, n in enumerate(("left_", "top_", "right_", "bottom_"))])
+
+
+@query("verdict_filter", "SELECT conv_id, turn, starts_with(upper(trim('  yes, ' || text)), 'YES') AND conv_id % 2 = 0 AS rejected FROM conversations")
+def verdict_filter(spark, sf):
+    answer = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("  yes, "), F.col("text"))).otherwise("No")
+    return table(spark, sf, "conversations").select("conv_id", "turn", responses.rejected(answer).alias("rejected"))
+
+
+@query("strip_fences", "SELECT doc_id, md5(trim(left(text, 40), chr(10) || ' ')) AS inner_md5 FROM documents")
+def strip_fences(spark, sf):
+    head = F.left("text", F.lit(40))
+    fenced = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("see\n```json\n"), head, F.lit("\n``` and ```x```"))).otherwise(F.concat(F.lit("\n"), head, F.lit(" ")))
+    return table(spark, sf, "documents").select("doc_id", F.md5(responses.strip_fences(fenced).cast("binary")).alias("inner_md5"))
+
+
+@query("known_labels", _DET + _KEPT + "SELECT image, array_to_string(list_sort(list_distinct(list(lower(label)))), ',') AS labels FROM ranked JOIN kept USING (image, idx) GROUP BY image")
+def known_labels(spark, sf):
+    return scene_graph_text(spark, sf).select("image", F.array_join(F.sort_array(responses.known_labels(F.col("scene_graph"))), ",").alias("labels"))
+
+
+@query("vocab_filter", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type || ',' || event_type ELSE '' END AS kept, CASE WHEN event_type IN ('high', 'medium') THEN event_type ELSE 'medium' END AS confidence FROM events")
+def vocab_filter(spark, sf):
+    values = F.array("event_type", F.lit("unknown"), "event_type")
+    return table(spark, sf, "events").select("event_id", F.array_join(responses.allowed(values, ("click", "view")), ",").alias("kept"), responses.confidence(F.col("event_type")).alias("confidence"))
+
+
+@query("backfill", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR n_chars = 0 THEN -1 ELSE n_chars END AS width, CASE WHEN doc_id % 4 = 0 THEN 'RGB' ELSE lang END AS mode, true AS valid FROM documents")
+def backfill(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("n_chars")).alias("width"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("mode"))
+    return stages.backfilled(rows, width=F.lit(-1).cast("long"), mode=F.lit("RGB"), valid=F.lit(True))
+
+
+@query("export_projection", "SELECT doc_id::VARCHAR || '.jpg' AS filename, source AS original_caption, lang AS caption FROM documents")
+def export_projection(spark, sf):
+    rows = table(spark, sf, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"), F.col("source").alias("caption"), F.col("lang").alias("spatial_caption"), F.lit("x").alias("type_a"))
+    return stages.exported(rows)
+
+
+@query("caption_fake", "SELECT doc_id, md5('Describe: ' || lang || ' ' || source) AS new_caption, NULL::VARCHAR AS error FROM documents")
+def caption_fake(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", F.lit("Describe:"), "lang", "source").alias("prompt"))
+    return backends.answered(rows, "prompt", backends.get_backend("fake"), "new_caption").drop("prompt")
+
+
+@query("depth_normalise", "SELECT vec_id, list_transform(embedding, lambda x: 1 - coalesce((x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0))[1] AS first_depth FROM embeddings")
+def depth_normalise(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.get(g.normalised_depths(F.col("embedding").cast("array<double>")), F.lit(0)).alias("first_depth"))
