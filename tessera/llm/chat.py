@@ -49,11 +49,12 @@ def ranked_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     now = nodes.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("ok"), F.col("parent")).alias("up"), F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("depth"))
     now, steps = materialize(now, "pointers"), []
     limit = max(1, nodes.count()).bit_length() + 1
-    while len(steps) < limit and not now.where("up is not null").isEmpty():
-        steps.append(now.where("up is not null").select("tree", "node", "up"))
+    while len(steps) < limit and not (open_ := now.where("up is not null")).isEmpty():
+        steps.append(open_.select("tree", "node", "up"))
         above = now.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        more = now.join(above, ["tree", "up"], "left")
-        now = materialize(more.select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "pointers")
+        # nodes that have met their root stand still: only the others are joined
+        more = open_.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("depth") + F.col("depth2")).alias("depth"))
+        now = materialize(now.where("up is null").unionByName(more), "pointers")
     rooted = now.where("up is null")
     leaves = rooted.join(nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy((F.col("total") / F.col("depth")).desc(), F.col("total").desc(), "node")
