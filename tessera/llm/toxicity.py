@@ -133,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("y"))
     chosen = docs.sparkSession.createDataFrame(known.orderBy(F.xxhash64("id"), "id").limit(train_max).collect(), known.schema)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(chosen), "id")
-    got = sorted(materialize(rows, "toxicity-sample").toLocalIterator(), key=lambda r: (r.id, r.t))[: 2 * train_max]
+    rows = rows.groupBy("id").agg(F.min(F.struct("t", "y")).alias("r")).select("id", "r.t", "r.y")  # one row for an id, however often it is repeated
+    got = sorted(materialize(rows, "toxicity-sample").toLocalIterator(), key=lambda r: r.id)
     return ToxicityModel([r.id for r in got], [r.t for r in got], [r.y for r in got])
 
 
