@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as g
-from ..functions import keys, responses
+from ..functions import keys, responses, semantic
 from ..operators import backends, stages
 from ..sources.annotations import shard_of
 from . import detections as d
@@ -254,3 +254,19 @@ def caption_fake(spark, sf):
 @query("depth_normalise", "SELECT vec_id, list_transform(embedding, lambda x: 1 - coalesce((x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0))[1] AS first_depth FROM embeddings")
 def depth_normalise(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", F.get(g.normalised_depths(F.col("embedding").cast("array<double>")), F.lit(0)).alias("first_depth"))
+
+
+@query("semantic_parse", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS environment, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ':graspable,graspable:medium' END AS objects, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ' near None high' END AS relations, CASE WHEN doc_id % 5 = 0 THEN 'not JSON' END AS error FROM documents")
+def semantic_parse(spark, sf):
+    raw = F.when(F.col("doc_id") % 5 == 0, "```json\n{broken```").otherwise(F.concat(
+        F.lit('```json\n{"scene_context": {"environment": "'), "lang", F.lit('"}, "objects": [{"label": " '), "source", F.lit('", "affordances": ["graspable", "edible", "graspable"], "state_confidence": "low"}, {"label": ""}], "relationships": [{"subject": "'),
+        F.upper("source"), F.lit('", "predicate": "near", "object": null, "confidence": "high"}, {"subject": "ghost", "predicate": "near", "object": "x"}, {"subject": "'), "source", F.lit('", "predicate": "eats", "object": "x"}]}\n```'),
+    ))
+    rows = table(spark, sf, "documents").select("doc_id", "source", semantic.response(raw).alias("v"), semantic.response_error(raw).alias("error"))
+    objs, rels = semantic.objects(F.col("v")), semantic.relationships(F.col("v"), F.array("source"))
+    good = lambda c: F.when(F.col("error").isNull(), c)
+    return rows.select(
+        "doc_id", good(semantic.scene_context(F.col("v"))["environment"]).alias("environment"),
+        good(F.array_join(F.transform(objs, lambda o: F.concat_ws(":", o["label"], F.array_join(o["affordances"], ","), o["state_confidence"])), ";")).alias("objects"),
+        good(F.array_join(F.transform(rels, lambda r: F.concat_ws(" ", r["subject"], r["predicate"], r["object"], r["confidence"])), ";")).alias("relations"), "error",
+    )

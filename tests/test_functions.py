@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
-from tessera.functions import keys, responses
+from tessera.functions import keys, responses, semantic
 from tessera.operators import backends, stages
 from tessera.plans.detections import KIND
 from tessera.sources.annotations import annotation_array, shard_of
@@ -118,3 +118,15 @@ def test_sources_and_stream(spark, tmp_path):
         (tmp_path / "in" / f"{i}.json").write_text(json.dumps({"idx": i, "caption": "c", "url": "u.png"}))
         ingest(spark, str(tmp_path / "in"), lambda r: r.withColumn("filename", keys.file_name(F.col("idx"), F.col("url"))), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     assert sorted(r.filename for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["000000.png", "000001.png"]
+
+
+def test_crop_verdict_and_order(spark):
+    kind = "struct<appearance:string,appearance_confidence:string,state:string,state_confidence:string>"
+    verdict = "struct<appearance:string,appearance_confidence:string,appearance_corrected:boolean,state:string,state_confidence:string,state_corrected:boolean>"
+    rows = [(("red", "high", "on", "high"), v) for v in ((None, "medium", True, None, "odd", True), ("blue", "odd", True, "off", "medium", False), (None, None, None, None, None, None))]
+    got = spark.createDataFrame(rows, f"o {kind}, v {verdict}").select(semantic.verified(F.col("o"), F.col("v")).alias("r")).collect()
+    assert [tuple(x.r) for x in got] == [("red", "medium", None, "medium"), ("blue", "medium", "on", "medium"), ("red", "high", "on", "high")]
+    objs = spark.createDataFrame([([("B",), ("x",), ("a",), ("b",)], ["a", "b"]), ([("z",), ("a",)], [])], "o array<struct<label:string>>, l array<string>")
+    out = objs.select(semantic.in_scene_order(F.col("o"), F.col("l")).alias("r")).collect()
+    assert [[o.label for o in x.r] for x in out] == [["a", "B", "b", "x"], ["z", "a"]]
+    assert one(spark, " . cat | big dog|car .", semantic.normalised_tags) == "cat . big dog.car"
