@@ -85,3 +85,16 @@ def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())
+
+
+def hash_sample(rows: DataFrame, most: int, *cols: str) -> DataFrame:
+    """At most `most` rows, chosen by the hash of distinct columns; about as many leave the tasks, at any size.
+
+    The count sets a bound of the hash that about a fifth more rows pass, so
+    tasks do not each send their own first rows to be compared.
+    """
+    n = rows.count()
+    h = F.xxhash64(*cols)
+    share = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+    picked = rows.where(share < 1.2 * most / n) if n > most else rows
+    return picked.orderBy(h, *cols).limit(most)

@@ -55,6 +55,22 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """At most `most` tokens, those above a count that the table of counts by size yields; the highest first.
+
+    Sizes are binned by a sixteenth of a power of two, so the bins are few at
+    any input and no task sends more tokens than are wanted in all.
+    """
+    size = F.floor(F.log2("n") * 16)
+    left, least = most, None
+    for r in counts.groupBy(size.alias("size")).agg(F.count("*").alias("k")).orderBy(F.desc("size")).collect():
+        if r.k > left:
+            break
+        left, least = left - r.k, r["size"]
+    rows = counts.where(size >= least).collect() if least is not None else []
+    return sorted(((bytes(r.token), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 class LogBilinear:
     """P(word | the two tokens before): softmax of a bias and an inner product with the sum of position vectors."""
 
@@ -180,7 +196,9 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT) -> tuple
     spark = texts.sparkSession
     counts = materialize(token_counts(texts), "token-counts")
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r.token), r.n) for r in counts.orderBy(F.desc("n"), "token").limit(frequent).collect()]
+    top = most_frequent(counts, frequent)
+    if all(t != END for t, _ in top):  # the end is known to every task, however rare
+        top += [(END, r.n) for r in counts.where(F.col("token") == F.lit(END)).collect()]
     scorer = TextScorer(top, total, types, vocab)
     if not total:
         scorer.norms = scorer.model.log_norms()

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample, materialize
 from .tagger import Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -223,7 +224,7 @@ def fit(docs: DataFrame | None = None, text_col: str = "text", sample_max: int =
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["w"])
 
         rows = docs.select(text_col).mapInArrow(cut, "w string")
-        windows += [(r.w, base_spans(r.w)) for r in rows.orderBy(F.xxhash64("w"), "w").limit(sample_max).collect()]
+        windows += [(r.w, base_spans(r.w)) for r in hash_sample(materialize(rows.distinct(), "pii-windows"), sample_max, "w").collect()]
     return PiiModel(windows, epochs)
 
 

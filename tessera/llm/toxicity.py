@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees, calibrated, isotonic
-from .common import materialize
+from .common import hash_sample, materialize
 
 #: Labelled rows that the classifier learns from, at most; the sample is by hash of the id.
 TRAIN_MAX = 20_000
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     so they are broadcast; no text of other documents moves.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("y"))
-    chosen = docs.sparkSession.createDataFrame(known.orderBy(F.xxhash64("id"), "id").limit(train_max).collect(), known.schema)
+    chosen = docs.sparkSession.createDataFrame(hash_sample(known, train_max, "id").collect(), known.schema)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(chosen), "id")
     rows = rows.groupBy("id").agg(F.min(F.struct("t", "y")).alias("r")).select("id", "r.t", "r.y")  # one row for an id, however often it is repeated
     got = sorted(materialize(rows, "toxicity-sample").toLocalIterator(), key=lambda r: r.id)

@@ -58,6 +58,13 @@ def test_normalised_and_exact(spark):
         assert got[d, len(w)].score == pytest.approx(want, rel=1e-4)
 
 
+def test_more_equal_tokens_than_places(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    scorer, counts = lm_score.fit(docs.select("text"), vocab=4, frequent=3)
+    r = lm_score.scored(docs, scorer, counts).first()
+    assert (r.n_tokens, r.n_known) == (7, 7) and r.base_score == pytest.approx(7 * math.log10(1.5 / (7 + 0.5 * 8)))
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     scorer, counts = lm_score.fit(docs.select("text"))
