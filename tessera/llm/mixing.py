@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, words
+from .common import let, materialize, words
 
 #: Words of a block, slots of an output shard, output shards at most (shards grow beyond).
 BLOCK = 32
@@ -175,10 +175,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _, pieces = mix(docs, id_col, text_col, source_col, **options)
     runs = pieces.groupBy("doc", "size", "epoch").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs"), F.sum(F.col("high") - F.col("low")).alias("n"))
     epochs = runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("epoch", "n", "size", "runs"))).alias("__epochs")).withColumnRenamed("doc", "__doc")
-    w = words(F.col(text_col))
-    part = lambda ws, e: F.when(e["n"] == e["size"], F.col(text_col)).otherwise(F.array_join(F.flatten(F.transform(e["runs"], lambda r: F.slice(ws, (r["low"] + 1).cast("int"), (r["high"] - r["low"]).cast("int")))), " "))
-    joined = docs.join(epochs, F.col(id_col).eqNullSafe(F.col("__doc"))).withColumn("__words", w)
-    text = F.array_join(F.transform("__epochs", lambda e: part(F.col("__words"), e)), "\n")
+    joined = docs.join(epochs, F.col(id_col).eqNullSafe(F.col("__doc")))
+
+    def part(ws: Column, e: Column) -> Column:
+        runs = F.transform(e["runs"], lambda r: F.slice(ws, (r["low"] + 1).cast("int"), (r["high"] - r["low"]).cast("int")))
+        return F.when(e["n"] == e["size"], F.col(text_col)).otherwise(F.array_join(F.flatten(runs), " "))
+
+    # let() binds the words: as a plain column they would be split anew for each run
+    text = let(words(F.col(text_col)), lambda ws: F.array_join(F.transform("__epochs", lambda e: part(ws, e)), "\n"))
     out = joined.withColumn("__text", text)
     cols = [F.col("__text").alias(c) if c == text_col else F.length("__text").cast(docs.schema[c].dataType).alias(c) if c == length_col else F.col(c) for c in docs.columns]
     return out.select(*cols)
