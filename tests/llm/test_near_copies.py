@@ -59,3 +59,11 @@ def test_stage_equals_all_pairs(spark):
 
 def test_empty(spark):
     assert near_copies.keep_representatives(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_without_own_id_stay_apart(spark):
+    texts = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (1, texts[2]), (1, texts[3]), (2, texts[3]), (2, texts[4]), (3, texts[5]), (3, texts[5])]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row long")
+    want = sorted(map(str, [(None, texts[0]), (None, texts[1]), (1, texts[2]), (1, texts[3]), (2, texts[4]), (3, texts[5])]))
+    assert sorted(str((r.doc_id, r.text)) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == want
