@@ -22,7 +22,7 @@ PASSAGE, STRIDE = 64, 16
 UNIT = 64
 #: A passage retrieves every unit of which it covers this part of the unit's score with itself.
 THRESHOLD = 0.7
-#: Words of a shingle, and the part of the shingles of question and of answer that a document must hold.
+#: Words of a shingle, and the part of the shingles of question and of answer, or of the whole item, that a document must hold.
 SHINGLE, OVERLAP = 5, 0.8
 #: The last part of an item's words is its answer.
 ANSWER_PART = 0.2
@@ -195,7 +195,8 @@ class ItemIndex:
                     n, question, answer = self.parts[item]
                     near = docs[d][max(0, base - n) : base + PASSAGE + n]
                     held = [part_held(question, near), part_held(answer, near)]
-                    if min(held) >= OVERLAP and (item not in out[d] or out[d][item][0] < score):
+                    enough = min(held) >= OVERLAP or part_held(question + answer, near) >= OVERLAP
+                    if enough and (item not in out[d] or out[d][item][0] < score):
                         out[d][item] = (score, *held)
         for found in out:
             yield [(self.ids[i], *x) for i, x in sorted(found.items())]

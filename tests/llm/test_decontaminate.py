@@ -89,3 +89,19 @@ def test_items_in_several_indexes(spark):
     docs = spark.createDataFrame([(i, f"some text {t} more") for i, t in items[::2]], "doc_id long, text string")
     got = dc.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"), items_max=25)
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i, _ in items[::2]]
+
+
+def test_one_edited_word_at_every_position():
+    rnd = random.Random(11)
+    items = [(n, [f"q{rnd.randrange(3000)}" for _ in range(n)]) for n in (15, 22, 31, 44, 59)]
+    index = dc.ItemIndex([(i, " ".join(w)) for i, w in items])
+    texts, want = [], []
+    for i, w in items:
+        for at in range(len(w)):
+            edited = [*w[:at], "edited", *w[at + 1 :]]
+            left = [x for x in range(len(w) - 4) if not x <= at < x + 5]
+            if len(left) >= 0.8 * (len(w) - 4):
+                texts.append(" ".join([f"f{rnd.randrange(9999)}" for _ in range(rnd.randrange(80))] + edited + ["after"] * 40))
+                want.append([i])
+    assert len(want) > 100
+    assert [[m[0] for m in found] for found in index.matches(texts)] == want
