@@ -5,9 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The characters that separate words, as text for btrim and as a Java pattern.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -17,9 +20,12 @@ _written: list[tuple[object, object]] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a local one only where none is set."""
+    """The shared folder that the cluster names; a local one only where none is set and all tasks run in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -87,6 +93,34 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+#: Rows whose running sum one task works out at a time.
+RUN = 4096
+
+
+def prefix_sums(rows: DataFrame, value: str, out: str, order: str, *by: str) -> DataFrame:
+    """rows with `out`: the sum of value over the rows of the same `by` that come earlier in the order, a whole number >= 0.
+
+    Sums run within runs of RUN places, over the runs of a run of RUN runs, and
+    over those, so that no task needs all rows of one `by`.
+    """
+    keys, earlier = list(by), lambda *p: Window.partitionBy(*p).rowsBetween(Window.unboundedPreceding, -1)
+    run, far = "__run", "__far"
+    marked = rows.withColumn(run, F.floor(F.col(order) / RUN)).withColumn(far, F.floor(F.col(order) / (RUN * RUN)))
+    runs = marked.groupBy(*keys, run, far).agg(F.sum(value).alias("__sum"))
+    fars = runs.groupBy(*keys, far).agg(F.sum("__sum").alias("__all"))
+    fars = fars.withColumn("__first", F.coalesce(F.sum("__all").over(earlier(*keys).orderBy(far)), F.lit(0)))
+    runs = runs.withColumn("__second", F.coalesce(F.sum("__sum").over(earlier(*keys, far).orderBy(run)), F.lit(0)))
+    third = F.coalesce(F.sum(value).over(earlier(*keys, far, run).orderBy(order)), F.lit(0))
+
+    def joined(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
+        right = right.withColumnsRenamed({c: f"{c}__r" for c in on})
+        return left.join(right, reduce(and_, [left[c].eqNullSafe(right[f"{c}__r"]) for c in on])).drop(*[f"{c}__r" for c in on])
+
+    offsets = joined(runs, fars.drop("__all"), *keys, far).select(*keys, run, (F.col("__first") + F.col("__second")).alias("__before"))
+    found = joined(marked.withColumn("__third", third), offsets, *keys, run)
+    return found.withColumn(out, F.col("__before") + F.col("__third")).drop(run, far, "__third", "__before")
+
+
 def hash_sample(rows: DataFrame, most: int, *cols: str) -> DataFrame:
     """At most `most` rows, chosen by the hash of distinct columns; about as many leave the tasks, at any size.
 

@@ -14,15 +14,15 @@ import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder
+from .common import prefix_sums, shared_folder
 from .perfect_hash import PerfectHash, stamps
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,7 +30,7 @@ END_ID = 2
 #: Characters of text that make a shard, about; it only sets the number of files.
 SHARD_CHARS = 16_000_000
 #: Distinct chunks whose ids a worker remembers; others are encoded again.
-CACHE_MAX = 700_000
+CACHE_MAX = 400_000
 MAGIC = b"TSRIDX02"
 
 
@@ -39,8 +39,9 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_tessera_worker_store", types.ModuleType("_tessera_worker_store")).__dict__
 
 
-#: A lone full stop or comma after a letter or number is a piece of its own for the vocabulary.
-_LONE_MARK = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
+#: A lone full stop or comma after a letter or number is a piece of its own for the vocabulary.  Letters are those
+#: of basic and extended Latin, but for U+0130: its lower case is a letter and a mark, which joins a full stop.
+_LONE_MARK = re.compile("(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,])(?=[ \\n]|\\Z)")
 #: Marks that compose with ASCII letters, some of them with one case only.
 _COMBINING = re.compile("[\u0300-\u036f]")
 
@@ -94,7 +95,7 @@ class Encoder:
         return out
 
 
-def groups_by_size(texts: list[str], most: int = 4_000_000) -> Iterator[list[str]]:
+def groups_by_size(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
     """Runs of texts of about `most` characters; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
@@ -130,54 +131,84 @@ def pack_index(keys: list[int | None], ends: np.ndarray, width: int) -> bytes:
 
 
 class Shard:
-    """A shard's files: keyed access and the documents in order."""
+    """A shard's files: keyed access by ranged reads, and the documents in order.
+
+    A lookup hashes the key with the perfect hash, which is read when the shard
+    is opened (about three bits for each key); the slot's fingerprint, place and
+    ids are then read from their offsets, a few bytes each, at any shard size.
+    """
 
     KINDS = ("<u8", "<u8", "<u8", "<u4", "<u8", "<u4", "<u8", "u1", "<u8")
+    STAMP, LEAD, MANY, KEYS, NULL, STARTS = range(3, 9)
 
-    def __init__(self, index: bytes, payload: bytes):
-        if index[:8] != MAGIC:
+    def __init__(self, index: Callable[[int, int], bytes], payload: Callable[[int, int], bytes]):
+        """index, payload: functions that read (offset, number of bytes) of the two files."""
+        self.index, self.payload = index, payload
+        head = index(0, 8 + 8 * (1 + len(self.KINDS)))
+        if head[:8] != MAGIC:
             raise ValueError("not an index of this format")
-        head = np.frombuffer(index, "<u8", 1 + len(self.KINDS), 8)
-        at, parts = 8 + head.nbytes, []
-        for kind, n in zip(self.KINDS, head[1:].tolist(), strict=True):
-            parts.append(np.frombuffer(index, kind, n, at))
-            at += parts[-1].nbytes
-        self.mph = PerfectHash.of(*parts[:3])
-        self.stamp, self.lead, self.many, self.keys, self.null, self.starts = parts[3:]
-        self.ids = np.frombuffer(payload, "<u2" if head[0] == 2 else "<u4")
+        width, *self.sizes = np.frombuffer(head, "<u8", offset=8).astype(np.int64).tolist()
+        self.kind = np.dtype("<u2" if width == 2 else "<u4")
+        self.at = (len(head) + np.cumsum([0, *(n * np.dtype(k).itemsize for k, n in zip(self.KINDS, self.sizes, strict=True))])).tolist()
+        self.mph = PerfectHash.of(*(self.part(k) for k in range(3)))
 
     @classmethod
-    def open(cls, base: str) -> Shard:
+    def open(cls, base: str, whole: bool = False) -> Shard:
+        """whole: read both files at once, for a scan."""
         fs, path = pafs.FileSystem.from_uri(base)
-        data = []
-        for end in (".idx", ".bin"):
-            with fs.open_input_file(path + end) as f:
-                data.append(f.read())
-        return cls(*data)
+        files = [fs.open_input_file(path + end) for end in (".idx", ".bin")]
+        if whole:
+            views = [memoryview(f.read()) for f in files]
+            return cls(*(lambda at, n, v=v: v[at : at + n] for v in views))
+        return cls(*(lambda at, n, f=f: f.read_at(n, at) for f in files))
+
+    def part(self, k: int, first: int = 0, n: int | None = None) -> np.ndarray:
+        """Entries first.. of an array of the index."""
+        kind = np.dtype(self.KINDS[k])
+        n = self.sizes[k] - first if n is None else n
+        return np.frombuffer(self.index(self.at[k] + first * kind.itemsize, n * kind.itemsize), kind)
 
     def document(self, i: int) -> np.ndarray:
-        return self.ids[int(self.starts[i]) : int(self.starts[i + 1])]
+        a, b = self.part(self.STARTS, i, 2).tolist()
+        return np.frombuffer(self.payload(a * self.kind.itemsize, (b - a) * self.kind.itemsize), self.kind)
 
     def find(self, key: int | None) -> list[np.ndarray]:
         """The ids of every document with that key; none if there is no such key."""
         k = key_hashes([key])
         s = int(self.mph.slot(k)[0])
-        if s < 0 or self.stamp[s] != stamps(k)[0]:
+        if s < 0 or self.part(self.STAMP, s, 1)[0] != stamps(k)[0]:
             return []
-        first, n = int(self.lead[s]), int(self.many[s])
-        if bool(self.null[first]) != (key is None):
+        first, n = int(self.part(self.LEAD, s, 1)[0]), int(self.part(self.MANY, s, 1)[0])
+        if bool(self.part(self.NULL, first, 1)[0]) != (key is None) or self.part(self.KEYS, first, 1)[0] != k[0]:
             return []
         return [self.document(i) for i in range(first, first + n)]
 
+    def scan(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """(key, first id's place, ids) of every document, each reached through the perfect hash by its key."""
+        keys, null, starts = self.part(self.KEYS), self.part(self.NULL), self.part(self.STARTS).astype(np.int64)
+        slot = self.mph.slot(keys)
+        if not (self.part(self.STAMP)[slot] == stamps(keys)).all():
+            raise ValueError("a listed key is not in the index")
+        lead, many = self.part(self.LEAD)[slot].astype(np.int64), self.part(self.MANY)[slot].astype(np.int64)
+        place = np.arange(len(keys))
+        if not ((lead <= place) & (place < lead + many)).all():
+            raise ValueError("a document is outside its key's range")
+        ids = np.frombuffer(self.payload(0, int(starts[-1]) * self.kind.itemsize), self.kind)
+        for i, (k, absent) in enumerate(zip(keys.astype(np.int64).tolist(), null.tolist(), strict=True)):
+            yield None if absent else k, int(starts[i]), ids[starts[i] : starts[i + 1]]
+
+
+MANIFEST = "shard long, base string, nulls boolean, first_key long, last_key long, n_docs long, n_ids long"
+
 
 def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """Encode whole texts into shards in ascending key order, nulls first; a row for each shard.
+    """Encode whole texts into shards in ascending key order, nulls first; a row of MANIFEST for each shard.
 
-    The row: shard, base (path without ending), n_docs, n_ids.  Null texts are
-    empty and still end in end_id.  Repeated keys stand together under one
-    index entry.  An empty table writes no shard.  Files are written under a
-    temporary name and moved, so a repeated task leaves one good copy; shard
-    names carry the range of keys, not the attempt.
+    The row: base (path without ending), whether a null key is in it, the range
+    of its other keys, and its numbers of documents and ids.  Null texts are
+    empty and still end in end_id.  Repeated keys stand together in one shard
+    under one index entry.  An empty table writes no shard.  Files are written
+    under a temporary name and moved, so a repeated task leaves one good copy.
     """
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
@@ -209,44 +240,46 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
             out.write(pack_index(keys, ends, encoder.kind.itemsize))
         for end_of in ("bin", "idx"):
             fs.move(f"{base}.{mark}.{end_of}", f"{base}.{end_of}")
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "base": [f"{folder}/shard-{shard:06d}"], "n_docs": [len(keys)], "n_ids": [int(ends[-1])]})
+        named = [k for k in keys if k is not None]
+        row = [shard, f"{folder}/shard-{shard:06d}", keys[0] is None, named[0] if named else None, named[-1] if named else None, len(keys), int(ends[-1])]
+        kinds = [pa.int64(), pa.string(), pa.bool_(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=["shard", "base", "nulls", "first_key", "last_key", "n_docs", "n_ids"])
 
-    return ordered.mapInArrow(run, "shard long, base string, n_docs long, n_ids long")
+    return ordered.mapInArrow(run, MANIFEST)
 
 
-def read_documents(spark: SparkSession, shards: list[tuple[str, int]]) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, looked up by key in the written files.
+def with_starts(manifest: DataFrame) -> DataFrame:
+    """The manifest with `before`: the ids in all shards before each; summed in runs of shards, then over the runs."""
+    return prefix_sums(manifest, "n_ids", "before", "shard")
 
-    shards: each base with the number of ids in the shards before it; one row
-    for each file, so it is bounded by the number of files, not of documents.
-    """
+
+def find_documents(manifest: DataFrame, key: int | None) -> list[np.ndarray]:
+    """The ids of every document with that key: the manifest names the one shard whose range holds it."""
+    held = F.col("nulls") if key is None else F.lit(key).between(F.col("first_key"), F.col("last_key"))
+    return [ids for r in manifest.where(held).select("base").collect() for ids in Shard.open(r.base).find(key)]
+
+
+def read_documents(manifest: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the written files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for base, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = Shard.open(base)
-                heads = np.flatnonzero(np.concatenate([[True], (s.keys[1:] != s.keys[:-1]) | (s.null[1:] != s.null[:-1])]))
-                names, starts, sizes, sums = [], [], [], []
-                for i in heads.tolist():
-                    key = None if s.null[i] else int(s.keys[i].astype(np.int64))
-                    for j, ids in enumerate(s.find(key)):
-                        names.append(key)
-                        starts.append(before + int(s.starts[i + j]))
-                        sizes.append(len(ids))
-                        sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *(pa.array(x, pa.int64()) for x in (starts, sizes, sums))], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    table = spark.createDataFrame(shards, "base string, before long").repartition(max(1, len(shards)))
+                rows = [(k, before + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for k, at, ids in Shard.open(base, whole=True).scan()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    table = with_starts(manifest).select("base", "before").repartition(max(1, manifest.count()))
     return table.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
-    """Write token files to a shared folder and describe each document as read back from them."""
+    """Write token files and their manifest to a shared folder; describe each document as read back from them.
+
+    A row for each row of docs: null keys come first, repeated keys together,
+    null and empty texts have their end id only, very long texts are encoded
+    whole, other columns are not read, and an empty table gives no rows.
+    """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "tokens")
-    shards = sorted(write_token_files(docs, folder, **options).collect(), key=lambda r: r.shard)
-    before, listed = 0, []
-    for r in shards:
-        listed.append((r.base, before))
-        before += r.n_ids
-    return read_documents(spark, listed)
+    write_token_files(docs, folder, **options).write.parquet(f"{folder}/manifest")
+    return read_documents(spark.read.schema(MANIFEST).parquet(f"{folder}/manifest"))
