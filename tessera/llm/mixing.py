@@ -5,16 +5,17 @@ Everything here is DataFrame expressions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import let, materialize, words
+from .common import let, materialize, prefix_sums, words
 
-#: Words of a block, slots of an output shard, output shards at most (shards grow beyond).
+#: Words of a block, slots of an output shard.
 BLOCK = 32
 SHARD_SLOTS = 4096
-MAX_SHARDS = 100_000
 #: Documents of a bucket, about: the unit within which offsets are summed in order.
 BUCKET_DOCS = 500
 WEIGHTS = (5, 2, 1)
@@ -73,24 +74,42 @@ def permuted(x: Column, n: Column, *key: Column) -> Column:
     return F.when(first < n, first).otherwise(walked)
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc, source, size, start, source_size): where each document's words begin in its source.
+    """(doc, source, hash, copy, size, start, source_size): where each row's words begin in its source.
 
-    The order within a source is by bucket, then id.  Offsets are summed inside
-    buckets and over buckets apart, so no task needs a whole source.
+    The order within a source is by bucket, id and text hash; copy numbers the
+    rows that are equal in all three.  Offsets are summed inside buckets and,
+    in runs, over buckets, so no task needs a whole source.
     """
-    sized = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"))
+    sized = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), text_hash(F.col(text_col)).alias("hash"), F.size(words(F.col(text_col))).cast("long").alias("size"))
     sized = materialize(sized, "sizes")
     buckets = max(16, sized.count() // BUCKET_DOCS)
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "doc"), F.lit(buckets)))
+    # the hash spreads rows without an id over the buckets
+    sized = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "doc", "hash"), F.lit(buckets)))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("in_bucket").over(over), F.lit(0))).withColumn("source_size", F.sum("in_bucket").over(Window.partitionBy("source")))
-    inside = Window.partitionBy("source", "bucket").orderBy("doc", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size")
+    sums = prefix_sums(sums, "in_bucket", "before", "bucket", "source")
+    whole = sized.groupBy(F.col("source").alias("w")).agg(F.sum("size").alias("source_size"))
+    bucket = Window.partitionBy("source", "bucket").orderBy("doc", "hash", "size")
+    same = Window.partitionBy("source", "bucket", "doc", "hash").orderBy("size")
+    placed = sized.withColumn("offset", F.coalesce(F.sum("size").over(bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("copy", F.row_number().over(same))
+    sums = sums.join(whole, F.col("source").eqNullSafe(F.col("w"))).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size")
     joined = placed.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return joined.select("doc", "source", "size", (F.col("before") + F.col("offset")).alias("start"), "source_size")
+    return joined.select("doc", "source", "hash", "copy", "size", (F.col("before") + F.col("offset")).alias("start"), "source_size")
+
+
+#: Cells into which a range is cut to find the part of it that holds a place by an equal cell, not by comparing all.
+CELLS = 4096
+
+
+def in_ranges(places: DataFrame, at: str, ranges: DataFrame, low: str, high: str, most: Column) -> DataFrame:
+    """places joined to the one range (low <= at < high) that holds each; ranges lie side by side in 0..most."""
+    cell = lambda x: F.least(F.floor(x * CELLS / most), F.lit(CELLS - 1))
+    cut = ranges.where(F.col(low) < F.col(high)).withColumn("__cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high)))))
+    return places.withColumn("__cell", cell(F.col(at))).join(cut, "__cell").where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high))).drop("__cell")
 
 
 def draw_slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, most_uses: int = MOST_USES) -> DataFrame:
@@ -98,49 +117,92 @@ def draw_slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_
 
     Every shard gives a source the whole part of its expected slots and draws
     the rest from a multinomial over the fractional parts, by the inverse of
-    their cumulative weights.  The cumulative range is cut into cells, so that
-    a draw meets its source by an equal cell and no table is broadcast.
+    their cumulative weights.  The whole parts and the draws are made by ranges
+    of numbers, split over tasks, and meet their source by cells, so nothing is
+    made from a few rows and no table is broadcast by force.  A source has room
+    for most_uses times its blocks; slots drawn beyond that go, evenly, to the
+    room that the other sources have left, so every shard is full.
     """
-    every = Window.partitionBy()
-    order = Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
-    t = targets.where("target > 0").withColumn("total", F.sum("target").over(every)).withColumn("p", F.col("target") / F.col("total"))
-    t = t.withColumn("blocks", F.ceil(F.col("source_size") / F.lit(block)).cast("long")).withColumn("slots", F.ceil(F.col("total") / F.lit(block)).cast("long"))
-    t = t.withColumn("wide", F.greatest(F.lit(shard_slots).cast("long"), F.ceil(F.col("slots") / F.lit(MAX_SHARDS))))
-    shards = t.select("slots", "wide").limit(1).select(F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("slots") / F.col("wide")) - 1)).alias("shard"), "slots", "wide")
-    shards = shards.select("shard", F.least("wide", F.col("slots") - F.col("shard") * F.col("wide")).alias("width"))
-    # all shards but the last have one width: the parts are worked out for each width, not for each shard
-    kinds = t.select("source", "p", "blocks", F.explode(F.array_distinct(F.array(F.least("wide", "slots"), F.col("slots") - F.floor((F.col("slots") - 1) / F.col("wide")) * F.col("wide")))).alias("width"))
-    by_width = Window.partitionBy("width")
-    kinds = kinds.withColumn("base", F.floor(F.col("width") * F.col("p"))).withColumn("part", F.col("width") * F.col("p") - F.col("base"))
-    kinds = kinds.withColumn("parts", F.sum("part").over(by_width)).withColumn("draws", F.col("width") - F.sum("base").over(by_width))
-    high = F.sum("part").over(Window.partitionBy("width").orderBy(F.col("source").isNull(), F.encode("source", "UTF-8")))
-    kinds = kinds.withColumn("high", F.try_divide(high, F.col("parts"))).withColumn("low", F.try_divide(high - F.col("part"), F.col("parts")))
-    cells = 4096
-    ranges = kinds.where("part > 0").select("source", "width", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells).cast("long")))).alias("cell"))
-    widths = kinds.groupBy("width").agg(F.max("draws").cast("long").alias("draws")).where("draws > 0")
-    draws = shards.join(widths, "width").select("shard", "width", F.explode(F.sequence(F.lit(1).cast("long"), "draws")).alias("draw"))
-    draws = draws.withColumn("u", uniform(F.col("shard"), F.col("draw"))).withColumn("cell", F.floor(F.col("u") * cells))
-    drawn = draws.join(ranges, ["width", "cell"]).where("u >= low and (u < high or high > 1 - 1e-12)")
-    # where rounding leaves the last range short of 1, two ranges may hold u: the first one counts
-    drawn = drawn.groupBy("shard", "draw").agg(F.min_by(F.struct("source"), F.col("low")).alias("s")).select("shard", "s.source")
-    counts = shards.join(kinds.where("base > 0").select("width", "source", "base"), "width").select("shard", "source", F.col("base").alias("n"))
-    counts = counts.unionByName(drawn.groupBy("shard", "source").agg(F.count("*").alias("n"))).groupBy("shard", "source").agg(F.sum("n").alias("n"))
-    first = F.sum("n").over(Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.withColumn("first", F.coalesce(first, F.lit(0)))
-    sizes = t.select(F.col("source").alias("s"), "blocks")
-    slots = counts.join(sizes, F.col("source").eqNullSafe(F.col("s"))).select("shard", "source", "blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
-    slots = slots.where(F.col("slot") < most_uses * F.col("blocks")).select("shard", "source", "blocks", F.floor(F.col("slot") / F.col("blocks")).alias("epoch"), (F.col("slot") % F.col("blocks")).alias("at"))
-    return slots.select("source", "epoch", permuted(F.col("at"), F.col("blocks"), F.coalesce("source", F.lit("\0null")), F.col("epoch")).alias("index"), "shard")
+    spark = targets.sparkSession
+    order = [F.col("source").isNull(), F.encode("source", "UTF-8")]
+    up = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    t = targets.where("target > 0").withColumn("blocks", F.ceil(F.col("source_size") / F.lit(block)).cast("long")).withColumn("nr", F.row_number().over(Window.orderBy(*order)))
+    total = t.agg(F.sum("target")).first()[0] or 0.0
+    slots = math.ceil(total / block)
+    full, last = divmod(slots, shard_slots)
+    # all shards but the last have one width
+    kinds, widths = [], []
+    for width, shards, first in ((shard_slots, full, 0), (last, 1, full)):
+        if width and shards:
+            widths.append((width, shards, first))
+            kinds.append(t.select("nr", (F.col("target") * width / total).alias("want"), F.lit(width).alias("width")))
+    if not widths:
+        return t.select("source", F.lit(0).cast("long").alias("epoch"), F.col("blocks").alias("index"), F.lit(0).cast("long").alias("shard")).where("false")
+    made = drawn = None
+    for (width, shards, first), kind in zip(widths, kinds, strict=True):
+        kind = kind.withColumn("base", F.floor("want")).withColumn("part", F.col("want") - F.col("base"))
+        above = Window.orderBy("nr").rowsBetween(Window.unboundedPreceding, -1)
+        kind = materialize(kind.withColumn("low", F.coalesce(F.sum("base").over(above), F.lit(0))).withColumn("part_low", F.coalesce(F.sum("part").over(above), F.lit(0.0))), "slot-shares")
+        whole, parts = kind.agg(F.sum("base"), F.sum("part")).first()
+        # slot i of a shard: the sources' whole parts lie side by side below `whole`, and draws stand above
+        if whole:
+            ranges = kind.select("nr", "base", F.col("low").alias("from"), (F.col("low") + F.col("base")).alias("to"))
+            places = spark.range(shards * whole).select(F.floor(F.col("id") / whole).alias("k"), (F.col("id") % whole).alias("i"))
+            some = in_ranges(places, "i", ranges, "from", "to", F.lit(whole))
+            some = some.select("nr", (F.col("k") + first).alias("shard"), (F.col("k") * F.col("base") + F.col("i") - F.col("from")).alias("slot"), F.lit(width).alias("width"))
+            made = some if made is None else made.unionByName(some)
+        if draws := width - whole:
+            # the last source's range is open, as rounding may leave the sum of the parts short of a draw
+            ranges = kind.where("part > 0").select("nr", F.col("part_low").alias("from"), F.coalesce(F.lead("part_low").over(Window.orderBy("nr")), F.lit(float(parts) + 1)).alias("to"))
+            places = spark.range(shards * draws).select((F.floor(F.col("id") / draws) + first).alias("shard"), (F.col("id") % draws).alias("draw"))
+            places = places.withColumn("u", uniform(F.col("shard"), F.col("draw")) * F.lit(float(parts)))
+            some = in_ranges(places, "u", ranges, "from", "to", F.lit(float(parts) + 1)).select("nr", "shard")
+            drawn = some if drawn is None else drawn.unionByName(some)
+    shares = None
+    for (_, shards, _), kind in zip(widths, kinds, strict=True):
+        some = kind.select("nr", (F.floor("want") * shards).alias("whole"), "width")
+        shares = some if shares is None else shares.unionByName(some)
+    # the whole parts of the last shard follow those of all others
+    after = shares.where(F.col("width") == widths[0][0]).select("nr", F.col("whole").alias("skip")) if len(widths) > 1 else None
+    if made is not None and after is not None:
+        made = made.join(after, "nr").withColumn("slot", F.when(F.col("width") == widths[0][0], F.col("slot")).otherwise(F.col("slot") + F.col("skip")))
+    taken = shares.groupBy("nr").agg(F.sum("whole").alias("whole"))
+    room = t.select("nr", "source", "blocks").join(taken, "nr").withColumn("most", F.lit(most_uses) * F.col("blocks"))
+    slots_of = made.select("nr", "shard", "slot") if made is not None else None
+    if drawn is not None:
+        counts = materialize(drawn.groupBy("nr", "shard").agg(F.count("*").alias("n")), "draws")
+        counts = prefix_sums(counts, "n", "first", "shard", "nr")
+        extra = counts.select("nr", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
+        gotten = counts.groupBy("nr").agg(F.sum("n").alias("drawn"))
+        side = room.join(gotten, "nr", "left").withColumn("used", F.col("whole") + F.coalesce("drawn", F.lit(0)))
+        nr_up = Window.orderBy("nr").rowsBetween(Window.unboundedPreceding, -1)
+        side = side.withColumn("over", F.greatest(F.col("used") - F.col("most"), F.lit(0))).withColumn("free", F.greatest(F.col("most") - F.col("used"), F.lit(0)))
+        side = side.withColumn("over_low", F.coalesce(F.sum("over").over(nr_up), F.lit(0))).withColumn("free_low", F.coalesce(F.sum("free").over(nr_up), F.lit(0)))
+        side = materialize(side.select("nr", "whole", "most", "used", "over_low", "free", "free_low"), "room")
+        over, free = side.agg(F.sum(F.greatest(F.col("used") - F.col("most"), F.lit(0))), F.sum("free")).first()
+        extra = extra.join(side.select("nr", "whole", "most", "over_low"), "nr").withColumn("slot", F.col("whole") + F.col("j"))
+        fits = extra.where("slot < most").select("nr", "shard", "slot")
+        slots_of = fits if slots_of is None else slots_of.unionByName(fits)
+        if over:
+            # the k-th of the slots beyond takes place floor(k * free / over) of the room left: each place at most once
+            beyond = extra.where("slot >= most").select("shard", F.floor((F.col("over_low") + F.col("slot") - F.col("most")) * F.lit(float(free) / over)).alias("at"))
+            ranges = side.select("nr", "used", F.col("free_low").alias("from"), (F.col("free_low") + F.col("free")).alias("to"))
+            moved = in_ranges(beyond, "at", ranges, "from", "to", F.lit(free)).select("nr", "shard", (F.col("used") + F.col("at") - F.col("from")).alias("slot"))
+            slots_of = slots_of.unionByName(moved)
+    named = slots_of.join(t.select("nr", "source", "blocks"), "nr")
+    named = named.select("source", "shard", "blocks", F.floor(F.col("slot") / F.col("blocks")).alias("epoch"), (F.col("slot") % F.col("blocks")).alias("at"))
+    return named.select("source", "epoch", permuted(F.col("at"), F.col("blocks"), F.coalesce("source", F.lit("\0null")), F.col("epoch")).alias("index"), "shard")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shard_slots: int = SHARD_SLOTS, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
     """The documents' places, and the pieces the mixture takes.
 
-    Places: doc, source, size, start, source_size, target for every row.
-    Pieces: doc, source, start, epoch, shard, low, high: the words low..high-1
-    of the document that a slot of that shard takes in that epoch.  Null texts
-    have no words; a null source is a source of its own; rows that repeat an id
-    are placed one after the other; an empty table gives empty results.
+    Places: doc, source, hash, copy, size, start, source_size, target for every row.
+    Pieces: doc, source, hash, copy, start, size, epoch, shard, low, high: the
+    words low..high-1 of the row that a slot of that shard takes in that epoch.
+    Null texts have no words; a null source is a source of its own; rows that
+    repeat an id are rows of their own, told apart by text and copy; a long text
+    is cut into blocks like any other; an empty table gives empty results.
     """
     placed = place_documents(docs, id_col, text_col, source_col)
     targets = source_targets(placed.groupBy("source").agg(F.max("source_size").alias("source_size")), weights, share)
@@ -148,11 +210,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     named = targets.select(F.col("source").alias("s"), "target")
     placed = materialize(placed.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "places")
     slots = draw_slots(targets, block, shard_slots)
-    spans = placed.where("size > 0").select("doc", "source", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("index"))
+    spans = placed.where("size > 0").select("doc", "source", "hash", "copy", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("index"))
     s = slots.select(F.col("source").alias("s"), F.col("index").alias("i"), "epoch", "shard")
     low = F.greatest(F.col("index") * block - F.col("start"), F.lit(0))
     high = F.least((F.col("index") + 1) * block - F.col("start"), F.col("size"))
-    pieces = spans.join(s, F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i"))).select("doc", "source", "start", "size", "epoch", "shard", low.alias("low"), high.alias("high"))
+    pieces = spans.join(s, F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i"))).select("doc", "source", "hash", "copy", "start", "size", "epoch", "shard", low.alias("low"), high.alias("high"))
     return placed, pieces
 
 
@@ -166,16 +228,22 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **options) -> DataFrame:
-    """The columns of docs, one row for each document of which the mixture takes words.
+    """The columns of docs, one row for each row of docs of which the mixture takes words.
 
     Its text is what each epoch takes, in order, epochs apart by a line end: the
     text itself where an epoch takes all of it, else the taken words with single
-    spaces.  Rows that repeat an id are one document here and must not differ.
+    spaces.  Rows that repeat an id are rows of their own: each takes its words
+    at most as often as the mixture may use a block.  Null and blank texts go.
     """
     _, pieces = mix(docs, id_col, text_col, source_col, **options)
-    runs = pieces.groupBy("doc", "size", "epoch").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs"), F.sum(F.col("high") - F.col("low")).alias("n"))
-    epochs = runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("epoch", "n", "size", "runs"))).alias("__epochs")).withColumnRenamed("doc", "__doc")
-    joined = docs.join(epochs, F.col(id_col).eqNullSafe(F.col("__doc")))
+    row = ["doc", "source", "hash", "copy"]
+    runs = pieces.groupBy(*row, "size", "epoch").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs"), F.sum(F.col("high") - F.col("low")).alias("n"))
+    epochs = runs.groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("epoch", "n", "size", "runs"))).alias("__epochs")).withColumnsRenamed({c: f"__{c}" for c in row})
+    hashed = docs.withColumn("__h", text_hash(F.col(text_col)))
+    same = Window.partitionBy("__h", id_col, source_col).orderBy(F.lit(0))
+    hashed = hashed.withColumn("__c", F.row_number().over(same))
+    on = (F.col("__h") == F.col("__hash")) & (F.col("__c") == F.col("__copy")) & hashed[id_col].eqNullSafe(epochs["__doc"]) & hashed[source_col].eqNullSafe(epochs["__source"])
+    joined = hashed.join(epochs, on)
 
     def part(ws: Column, e: Column) -> Column:
         runs = F.transform(e["runs"], lambda r: F.slice(ws, (r["low"] + 1).cast("int"), (r["high"] - r["low"]).cast("int")))

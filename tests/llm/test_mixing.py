@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing
@@ -84,3 +85,31 @@ def test_one_source_and_no_words(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.taken_words(docs).count() == 0
+
+
+def test_every_slot_of_every_shard_is_filled_once(spark):
+    sizes = {"a": 9000, "b": 70, "c": 33, None: 400, "d": 5000}
+    targets = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    total = sum(r.target for r in targets.collect())
+    for width in (7, 40, 4096):
+        got = mixing.draw_slots(targets, shard_slots=width).collect()
+        slots = -(-int(np.ceil(total)) // mixing.BLOCK)
+        per = Counter(r.shard for r in got)
+        assert len(got) == slots and per == Counter(s // width for s in range(slots))
+        assert len({(r.source, r.epoch, r["index"]) for r in got}) == slots
+        assert all(r.epoch < 2 and 0 <= r["index"] < -(-sizes[r.source] // mixing.BLOCK) for r in got)
+
+
+def test_repeated_rows_and_ids(spark):
+    text, long = " ".join(f"w{i}" for i in range(64)), " ".join(f"v{i}" for i in range(30_000))
+    rows = [(1, text, "s", 0), (1, text, "s", 0), (1, "other " * 40, "s", 0), (None, text, "s", 0), (None, text, "s", 0), (None, "a b c", None, 0), (2, long, "t", 0), (2, None, "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    taken = mixing.taken_words(docs)
+    out = mixing.mixed_documents(docs).collect()
+    assert sum(len(r.text.split()) for r in out) == sum(r.taken for r in taken.collect())
+    for r in out:
+        had = max(len(t.split()) for d, t, *_ in rows if d == r.doc_id and t and t.split()[0] == r.text.split()[0])
+        assert len(r.text.split()) <= 2 * had and max(Counter(r.text.split()).values()) <= (80 if "other" in r.text else 2)
+    assert Counter(r.doc_id for r in out)[1] <= 3
+    same = [len(r.text.split()) for r in mixing.mixed_documents(docs.where("text is not null").repartition(3)).collect()]
+    assert sorted(same) == sorted(len(r.text.split()) for r in out)
