@@ -9,6 +9,7 @@ for each document its key and where its ids begin.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 import types
@@ -18,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ END_ID = 2
 #: Characters of text that make a shard, about; it only sets the number of files.
 SHARD_CHARS = 16_000_000
 #: Distinct chunks whose ids a worker remembers; others are encoded again.
-CACHE_MAX = 400_000
+CACHE_MAX = 500_000
 MAGIC = b"TSRIDX02"
 
 
@@ -39,30 +41,36 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_tessera_worker_store", types.ModuleType("_tessera_worker_store")).__dict__
 
 
-#: A lone full stop or comma after a letter or number is a piece of its own for the vocabulary.  Letters are those
-#: of basic and extended Latin, but for U+0130: its lower case is a letter and a mark, which joins a full stop.
-_LONE_MARK = re.compile("(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,])(?=[ \\n]|\\Z)")
+#: Marks at the end of a word are a piece of their own for the vocabulary, so they can be split off.  The letters
+#: before them are those of basic and extended Latin, but for U+0130: its lower case is a letter and a mark, which joins
+#: marks after it.  The look back stands after the first mark, so that a search only stops at marks.
+_END_MARKS = re.compile("[!#$%&*.,:;?](?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][!#$%&*.,:;?])(?=[!#$%&*.,:;?]*(?:[ \\n]|\\Z))")
 #: Marks that compose with ASCII letters, some of them with one case only.
 _COMBINING = re.compile("[\u0300-\u036f]")
 
 
-def chunks_of(text: str) -> list[str]:
-    """Pieces whose ids, in order, are the text's ids.
+def spaced(text: str) -> str:
+    """The text with its chunks apart by single blanks: pieces whose ids, in order, are the text's ids.
 
     The vocabulary's pre-tokenizer drops white space, never joins across it and
-    takes a mark after a letter as a new piece; its normalizer lowers case.
+    takes marks after a letter as a new piece; its normalizer lowers case.
     Lower case here makes equal chunks meet more often; it is left out where it
     could matter: before control strings and beside combining marks.
     """
-    if "<|" not in text and not _COMBINING.search(text):
-        text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    return _LONE_MARK.sub(r" \1", text).replace("\n", " ").split(" ")
+    if "<|" not in text:
+        if text.isascii():
+            text = text.lower()
+        elif not _COMBINING.search(text):
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    return _END_MARKS.sub(r" \g<0>", text).replace("\n", " ")
 
 
 class Encoder:
     """Ids of whole texts, by way of chunks whose ids are remembered."""
 
     def __init__(self, name: str):
+        # a task has its own core: the library's threads would only add work
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -77,25 +85,36 @@ class Encoder:
             kept[name] = cls(name)
         return kept[name]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [chunks_of(t) for t in texts]
-        fresh: dict[str, bytes] = {}
-        todo = [c for c in set().union(*chunks) if c not in self.known]
+    def ids_of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        found = [self.known.get(c) for c in chunks]
+        todo = [k for k, x in enumerate(found) if x is None]
         for at in range(0, len(todo), 4096):
             some = todo[at : at + 4096]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                fresh[c] = np.array(e.ids, dtype=self.kind).tobytes()
-        if len(self.known) + len(fresh) <= CACHE_MAX:
-            self.known |= fresh
-            return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
-        both = self.known | fresh
-        out = [b"".join(map(both.__getitem__, c)) for c in chunks]
-        for c in todo[: max(0, CACHE_MAX - len(self.known))]:
-            self.known[c] = fresh[c]
-        return out
-
-
-def groups_by_size(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([chunks[k] for k in some], add_special_tokens=False), strict=True):
+                found[k] = np.array(e.ids, dtype=self.kind).tobytes()
+        for k in todo[: max(0, CACHE_MAX - len(self.known))]:
+            self.known[chunks[k]] = found[k]
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text: its distinct chunks are looked up once and gathered into place."""
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array([spaced(t) for t in texts], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        known = self.ids_of(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // self.kind.itemsize
+        start, every = np.cumsum(size) - size, np.frombuffer(b"".join(known), self.kind)
+        at = coded.indices.to_numpy()
+        sizes = size[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = every[np.repeat(start[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        edges = ends[lists.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def groups_by_size(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """Runs of texts of about `most` characters; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
