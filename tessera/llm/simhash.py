@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .components import connected_components
+from .components import connected_components, one_row_each
 
 #: XXH64 seed of the shingle hash.
 SEED = 42
@@ -48,15 +48,16 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed long."""
+    """(id, text_hash, fp): fp is the fingerprint as a signed long."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, width) for t in b.column(1).cast(pa.binary()).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.array([fingerprint(t, width) for t in b.column(2).cast(pa.binary()).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {kind}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("t"))
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, fp long")
 
 
 def masks(blocks: int, max_bits: int) -> list[int]:
@@ -139,19 +140,26 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, pairwise: int = PAIRWIS
     return links.distinct()
 
 
+def linked(docs: DataFrame, id_col: str, text_col: str, width: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, fp) of every row, and (node, root) of the fingerprints that have links."""
+    marked = materialize(with_fingerprints(docs, id_col, text_col, width), "fingerprints")
+    links = materialize(fingerprint_links(marked.select("fp").distinct(), max_bits), "links")
+    return marked, connected_components(links)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the smallest id reachable by links.
 
     Null and blank texts have fingerprint 0 and link like any other; texts of
-    fewer than `width` words are one shingle; repeated rows give repeated rows;
-    null ids get their component's smallest id (null if it has none); an empty
-    table gives no rows; other columns are not read.
+    fewer than `width` words are one shingle; very long texts are read whole;
+    repeated rows give repeated rows; null ids get their component's smallest id
+    (null if it has none); an empty table gives no rows; other columns are not
+    read.
     """
-    marked = materialize(with_fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    links = materialize(fingerprint_links(nodes.select("fp"), max_bits), "links")
-    roots = connected_components(links)
+    marked, roots = linked(docs, id_col, text_col, width, max_bits)
+    nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
     named = nodes.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = materialize(named, "roots")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(named.join(least, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
@@ -161,11 +169,10 @@ def hex16(fp: Column) -> Column:
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, one row for each id.
+    """One row of docs for each component: the smallest id, null last, then the least text hash.
 
-    The id names the document: rows that repeat an id are copies of one
-    document.  A component whose rows all have a null id keeps one of them.
+    Rows without an id stay only where no row of their component has one, one
+    for each component; an id that repeats with other texts is judged by them.
     """
-    found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates([id_col])
+    marked, roots = linked(docs, id_col, text_col, width, max_bits)
+    return one_row_each(docs, marked, roots, id_col, text_col)

@@ -19,7 +19,7 @@ def plain_fingerprint(text, width=4):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute(rows, max_bits=4):
+def brute(rows, max_bits=4, each=False):
     fps = [plain_fingerprint(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -36,6 +36,8 @@ def brute(rows, max_bits=4):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
+    if each:  # one for each component, also where components share an id or have none
+        return sorted(str(least.get(k)) for k in {find(i) for i in range(len(rows))})
     return sorted((str(d), fps[i], str(least.get(find(i)))) for i, (d, _) in enumerate(rows))
 
 
@@ -66,8 +68,17 @@ def test_query_equals_brute_force(spark):
     assert sorted((str(r.id), r.fp % (1 << 64), str(r.component_id)) for r in got) == brute(rows)
     kept = simhash.keep_representatives(docs)
     assert kept.columns == docs.columns
-    want = sorted({c for _, _, c in brute(rows)})
-    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    assert sorted(str(r.doc_id) for r in kept.collect()) == brute(rows, each=True)
+
+
+def test_rows_without_id_stay_where_nothing_links_them(spark):
+    texts = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[2]), (8, texts[3]), (8, texts[4])]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
+    kept = simhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    want = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (8, texts[3]), (8, texts[4])]
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, want))
 
 
 def test_empty(spark):
