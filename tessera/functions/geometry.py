@@ -75,17 +75,32 @@ def clamped_box(cx: Column, cy: Column, w: Column, h: Column, width: Column, hei
 
 
 def crop_box(box: Column, width: Column, height: Column, pad: float = 0.05) -> Column:
-    """The box widened by pad of its size on each side, cut to whole pixels inside the image."""
-    dx, dy = (x_of(box, 2) - x_of(box, 0)) * pad, (x_of(box, 3) - x_of(box, 1)) * pad
+    """The box widened on each side by pad of the image's size, cut to whole pixels inside the image."""
+    dx, dy = width * pad, height * pad
     low = lambda v: F.greatest(F.lit(0), v.cast("int"))
-    return F.array(low(x_of(box, 0) - dx), low(x_of(box, 1) - dy), F.least(width.cast("int"), (x_of(box, 2) + dx).cast("int")), F.least(height.cast("int"), (x_of(box, 3) + dy).cast("int")))
+    high = lambda v, most: F.least(most.cast("int"), v.cast("int"))
+    return F.array(low(x_of(box, 0) - dx), low(x_of(box, 1) - dy), high(x_of(box, 2) + dx, width), high(x_of(box, 3) + dy, height))
 
 
 def crop_kept(crop: Column, width: Column, height: Column, least: float = 0.002) -> Column:
+    """Whether the crop has an area, of at least that part of the image."""
     w, h = x_of(crop, 2) - x_of(crop, 0), x_of(crop, 3) - x_of(crop, 1)
     return (w > 0) & (h > 0) & (w * h / (width * height) >= least)
 
 
+def rounded(value: Column, digits: int = 4) -> Column:
+    """The exact binary value rounded to digits, ties to even; for numbers below 1,000."""
+    return F.format_number(value, digits).cast("double")
+
+
+def median_in(values: Column, mask: Column) -> Column:
+    """The median of the values where the mask is true; of all values where it never is."""
+    inside = F.transform(F.filter(F.arrays_zip(values.alias("v"), mask.alias("m")), lambda x: x["m"]), lambda x: x["v"])
+    ordered = F.sort_array(F.when(F.size(inside) > 0, inside).otherwise(values))
+    n = F.size(ordered)
+    return (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+
+
 def normalised_depths(depths: Column) -> Column:
     """Inverted to 0 = nearest, 1 = farthest; all 1 where every value is the same."""
     low, high = F.array_min(depths), F.array_max(depths)
@@ -118,8 +133,44 @@ def survivors(dets: Column, kind: str) -> Column:
 
 
 def top(dets: Column, n: int = 25) -> Column:
-    """The n largest by area rank, only if there are more."""
-    return F.when(F.size(dets) > n, F.slice(by_rank(dets, "area_rank"), 1, n)).otherwise(dets)
+    """The n largest by area rank as it stands, stably, only if there are more; a list with an unranked one stays whole."""
+    ranked = ~F.exists(dets, lambda d: d["area_rank"].isNull())
+    return F.when((F.size(dets) > n) & ranked, F.slice(_ordered(dets, lambda d: d["area_rank"]), 1, n)).otherwise(dets)
+
+
+def label_key(label: Column) -> Column:
+    """Labels meet without case and outer blanks."""
+    return F.lower(F.btrim(label, F.lit(" \t\n\r\x0b\x0c")))
+
+
+def detection_for(dets: Column, label: Column, position: Column) -> Column:
+    """The last detection with that label and position, else the nearest with that label, the first of equals; null if none."""
+    same = F.filter(dets, lambda d: (label_key(d["label"]) == label_key(label)) & (label_key(label) != ""))
+    at = F.filter(same, lambda d: F.nullif(F.btrim(d["position"]), F.lit("")) == position)
+    return F.coalesce(F.try_element_at(at, F.lit(-1)), F.get(by_rank(same), F.lit(0)))
+
+
+def ranks(dets: Column, key) -> Column:
+    """For each detection its place, from 1, in a stable order of the key; detections without a key come last."""
+    keyed = F.transform(dets, lambda d, i: F.struct(key(d).isNull().alias("none"), key(d).alias("k"), i.alias("i")))
+    order = F.transform(F.array_sort(keyed), lambda x: x["i"])
+    return F.transform(dets, lambda d, i: F.array_position(order, i).cast("int"))
+
+
+def with_geometry(found: Column, width: Column, height: Column) -> Column:
+    """Detections (label, bbox, confidence, depth_value, mask_area) with position, ranks and free space added."""
+    deep, wide = ranks(found, lambda d: d["depth_value"]), ranks(found, lambda d: -d["mask_area"])
+    boxes = F.transform(found, lambda d: d["bbox"])
+
+    def one(d: Column, i: Column) -> Column:
+        return F.struct(
+            d["label"].alias("label"), d["bbox"].alias("bbox"), d["confidence"].alias("confidence"), d["depth_value"].alias("depth_value"),
+            position(horizontal(d["bbox"], width), vertical(d["depth_value"])).alias("position"),
+            F.when(d["depth_value"].isNull(), 0).otherwise(F.get(deep, i)).alias("depth_rank"), F.get(wide, i).alias("area_rank"),
+            free_space(d["label"], free_sides(d["bbox"], boxes, width, height)).alias("free_space"),
+        )
+
+    return F.transform(found, one)
 
 
 def free_sides(box: Column, others: Column, width: Column, height: Column) -> Column:
@@ -145,6 +196,14 @@ def free_space(label: Column, sides: Column) -> Column:
 
 def scene_text(dets: Column) -> Column:
     """A header and a numbered line for each detection in depth order, with its free space below it."""
-    line = lambda d, i: F.concat((i + 1).cast("string"), F.lit(". "), d["label"], F.lit(" ["), d["position"], F.lit("] conf="), F.format_number(d["confidence"], 2), F.lit(" depth="), F.coalesce(F.format_number(d["depth_value"], 3), F.lit("n/a")), F.lit(" depth_rank="), d["depth_rank"].cast("string"), F.lit(" area_rank="), d["area_rank"].cast("string"), F.when(d["free_space"] != "", F.concat(F.lit("\n   "), d["free_space"])).otherwise(""))
+
+    # fixed values: the header, the names in a line and the text for no objects
+    def line(d: Column, i: Column) -> Column:
+        return F.concat(
+            (i + 1).cast("string"), F.lit(". "), d["label"], F.lit(" ["), d["position"], F.lit("] conf="), F.format_number(d["confidence"], 2),
+            F.lit(" depth="), F.coalesce(F.format_number(d["depth_value"], 3), F.lit("n/a")), F.lit(" depth_rank="), d["depth_rank"].cast("string"),
+            F.lit(" area_rank="), d["area_rank"].cast("string"), F.when(d["free_space"] != "", F.concat(F.lit("\n   "), d["free_space"])).otherwise(""),
+        )
+
     head = F.concat(F.lit("SCENE GRAPH ("), F.size(dets).cast("string"), F.lit(" objects detected):"))
     return F.when(F.size(dets) == 0, "SCENE GRAPH: No objects detected.").otherwise(F.concat_ws("\n", head, F.array_join(F.transform(by_rank(dets), line), "\n")))

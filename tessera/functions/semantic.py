@@ -26,8 +26,9 @@ ALL_PREDICATES = tuple(p for ps in PREDICATES.values() for p in ps)
 
 
 def predicate_block() -> str:
-    """The vocabulary as lines of a prompt."""
-    return "\n".join(f"{kind + ':':22}{', '.join(ps)}" for kind, ps in PREDICATES.items())
+    """The vocabulary as lines of a prompt; the header and the width of a kind are fixed values."""
+    lines = [f"  {kind + ':':22} {', '.join(ps)}" for kind, ps in PREDICATES.items()]
+    return "\n".join(["Relationship predicate vocabulary (use ONLY these predicates):", *lines])
 
 
 def response(raw: Column) -> Column:
@@ -41,6 +42,8 @@ def response_error(raw: Column) -> Column:
     out = F.when(v.isNull(), "not JSON")
     for key in ("scene_context", "objects", "relationships"):
         out = out.when(F.variant_get(v, f"$.{key}", "variant").isNull(), f"missing key {key}")
+    for key, kind in (("scene_context", "OBJECT%"), ("objects", "ARRAY%"), ("relationships", "ARRAY%")):
+        out = out.when(~F.schema_of_variant(F.variant_get(v, f"$.{key}", "variant")).like(kind), f"{key} has the wrong kind")
     return out
 
 
@@ -95,19 +98,54 @@ def in_scene_order(objs: Column, labels: Column) -> Column:
 
 
 def verified(obj: Column, verdict: Column) -> Column:
-    """A crop verdict merged in: appearance is corrected only by a value, state may be cleared, valid confidences always count."""
-    new_look = F.coalesce(verdict["appearance_corrected"], F.lit(False)) & verdict["appearance"].isNotNull()
-    new_state = F.coalesce(verdict["state_corrected"], F.lit(False))
-    sure = lambda name, new: F.when(verdict[name].isin(*CONFIDENCES), verdict[name]).when(new, "medium").otherwise(obj[name])
-    appearance = F.when(new_look, verdict["appearance"]).otherwise(obj["appearance"])
-    state = F.when(new_state, verdict["state"]).otherwise(obj["state"])
-    changed = {"appearance": appearance, "appearance_confidence": sure("appearance_confidence", new_look), "state": state, "state_confidence": sure("state_confidence", new_state)}
+    """A crop verdict (a variant) merged into an object.
+
+    Appearance is corrected only by a value, a state may be cleared.  A missing
+    confidence counts as medium and a valid one always counts; a null or invalid
+    one becomes medium with a correction and else changes nothing.  Without a
+    verdict, or with one that is no JSON object, the object stays.
+    """
+    text = lambda name: F.try_variant_get(verdict, f"$.{name}", "string")
+    new_look = F.coalesce(F.try_variant_get(verdict, "$.appearance_corrected", "boolean"), F.lit(False)) & text("appearance").isNotNull()
+    new_state = F.coalesce(F.try_variant_get(verdict, "$.state_corrected", "boolean"), F.lit(False))
+
+    def sure(name: str, new: Column) -> Column:
+        said = F.when(F.variant_get(verdict, f"$.{name}", "variant").isNull(), "medium").otherwise(text(name))
+        return F.when(said.isin(*CONFIDENCES), said).when(new, "medium").otherwise(obj[name])
+
     out = obj
-    for name, value in changed.items():
-        out = out.withField(name, value)
-    return out
+    for name, new in (("appearance", new_look), ("state", new_state)):
+        out = out.withField(name, F.when(new, text(name)).otherwise(obj[name])).withField(f"{name}_confidence", sure(f"{name}_confidence", new))
+    judged = verdict.isNotNull() & F.schema_of_variant(verdict).like("OBJECT%")
+    return F.when(F.coalesce(judged, F.lit(False)), out).otherwise(obj)
 
 
 def normalised_tags(tags: Column) -> Column:
     """Tags divided by bars become tags divided by full stops."""
     return F.btrim(F.replace(F.replace(tags, F.lit(" | "), F.lit(" . ")), F.lit("|"), F.lit(".")), F.lit(" ."))
+
+
+#: The columns' JSON: an annotation as stored, with nulls written out.
+JSON = {"ignoreNullFields": "false"}
+
+
+def props_json(context: Column, objs: Column) -> Column:
+    return F.to_json(F.struct(context.alias("scene_context"), objs.alias("objects")), JSON)
+
+
+def rels_json(rels: Column) -> Column:
+    return F.to_json(F.struct(rels.alias("relationships")), JSON)
+
+
+CONTEXT = "scene_context struct<environment:string,apparent_activity:string,temporal_phase:string,confidence:string>"
+OBJECT = "struct<label:string,position:string,appearance:string,appearance_confidence:string,state:string,state_confidence:string,affordances:array<string>>"
+RELATION = "struct<subject:string,predicate:string,object:string,type:string,confidence:string,evidence:string>"
+
+
+def merged_json(props: Column, rels: Column, labels: Column) -> Column:
+    """Stored properties and relationships as one pretty document, objects in the scene's order; null if either is no JSON."""
+    p = F.from_json(props, f"{CONTEXT}, objects array<{OBJECT}>", {"mode": "PERMISSIVE"})
+    r = F.from_json(rels, f"relationships array<{RELATION}>")
+    both = F.struct(p["scene_context"].alias("scene_context"), in_scene_order(p["objects"], labels).alias("objects"), r["relationships"].alias("relationships"))
+    usable = F.try_parse_json(props).isNotNull() & F.try_parse_json(rels).isNotNull()
+    return F.when(usable, F.to_json(both, JSON | {"pretty": "true"}))

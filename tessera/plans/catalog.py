@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..config import Config
 from ..functions import geometry as g
 from ..functions import keys, responses, semantic
 from ..operators import backends, stages
@@ -21,7 +22,7 @@ _DET = """
 WITH boxes AS (
   SELECT l_orderkey AS image, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS idx,
     p_name AS label, (l_partkey % 8 * 20)::DOUBLE AS x1, (l_suppkey % 6 * 20)::DOUBLE AS y1,
-    l_partkey % 8 * 20 + 40 + 2 * l_quantity AS x2, l_suppkey % 6 * 20 + 30 + l_quantity AS y2, l_quantity / 64 AS confidence,
+    l_partkey % 8 * 20 + 40 + 2 * l_quantity AS x2, l_suppkey % 6 * 20 + 30 + l_quantity AS y2, l_quantity / 51 AS confidence,
     CASE WHEN NOT (l_returnflag = 'N' AND l_linenumber = 7) THEN l_discount * 10 END AS depth, l_quantity AS mask_area
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 ranked AS (
@@ -49,6 +50,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _shouted(rows: DataFrame) -> DataFrame:
+    """Labels as a model may write them: every second one in capitals with blanks around it."""
+    return rows.withColumn("label", F.when(F.col("idx") % 2 == 0, F.concat(F.lit(" "), F.upper("label"), F.lit("  "))).otherwise(F.col("label")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -83,15 +89,27 @@ def limit_then_resume(spark, sf):
     return stages.not_done(stages.first_rows(table(spark, sf, "documents").select("doc_id"), "doc_id", 100), table(spark, sf, "labels"), "doc_id")
 
 
-@query("prereq_join", "SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
+@query("prereq_join", """
+SELECT o_orderkey, c_name, n_name FROM orders
+JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+""")
 def prereq_join(spark, sf):
-    joined = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return joined.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("customer"), "c_name", F.col("c_nationkey").alias("nation"))
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), "n_name")
+    both, _ = stages.joined(orders, customers, "customer", "c_name", "nation")
+    return stages.joined(both, nations, "nation", "n_name")[0].select("o_orderkey", "c_name", "n_name")
 
 
-@query("join_drop_count", "SELECT count(*) AS dropped FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+@query("join_drop_count", """
+SELECT count(*) AS dropped FROM orders o
+WHERE o_custkey % 3 = 0 OR NOT EXISTS (SELECT 1 FROM customer c WHERE c_custkey = o_custkey)
+""")
 def join_drop_count(spark, sf):
-    return resume_anti(spark, sf).agg(F.count("*").alias("dropped"))
+    """The rows that a prerequisite join loses: here every third customer is missing on the right."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    customers = table(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("key"), "c_name")
+    return stages.joined(orders, customers, "key", "c_name")[1]
 
 
 @query("merge_keep_last", "SELECT doc_id, md5(text) AS key FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS r FROM documents) WHERE r = 1")
@@ -124,7 +142,10 @@ def validity_reason(spark, sf):
     return table(spark, sf, "documents").select("doc_id", stages.validity_reason(F.col("doc_id") % 50 != 0, F.col("n_chars"), width, F.lit(60), error).alias("filter_reason"))
 
 
-@query("reason_counts", f"SELECT filter_reason, count(*) AS n FROM ({ORACLE_SQL['validity_reason']}) GROUP BY filter_reason")
+@query("reason_counts", f"""
+SELECT filter_reason, count(*) AS n FROM ({ORACLE_SQL['validity_reason']})
+WHERE filter_reason IS NOT NULL GROUP BY filter_reason ORDER BY filter_reason
+""")
 def reason_counts(spark, sf):
     return stages.reason_counts(validity_reason(spark, sf))
 
@@ -139,22 +160,44 @@ def positions(spark, sf):
     return d.placed(d.boxes(spark, sf)).select("image", "idx", "position")
 
 
-@query("pair_iou", _DET + "SELECT image, i, j, c / (aa + ba - c) AS iou, c / aa AS contained, shared FROM (SELECT a.image, a.idx AS i, b.idx AS j, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS c, (a.x2 - a.x1) * (a.y2 - a.y1) AS aa, (b.x2 - b.x1) * (b.y2 - b.y1) AS ba, list_has_any(string_split(lower(a.label), ' '), string_split(lower(b.label), ' ')) AS shared FROM boxes a JOIN boxes b ON a.image = b.image AND a.idx <> b.idx) WHERE c > 0")
+@query("pair_iou", _DET + """
+SELECT image, i, j, c / (aa + ba - c) AS iou, c / aa AS contained, shared FROM (
+  SELECT a.image, a.idx AS i, b.idx AS j,
+    greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS c,
+    (a.x2 - a.x1) * (a.y2 - a.y1) AS aa, (b.x2 - b.x1) * (b.y2 - b.y1) AS ba,
+    list_has_any(string_split(lower(a.label), ' '), string_split(lower(b.label), ' ')) AS shared
+  FROM boxes a JOIN boxes b ON a.image = b.image AND a.idx <> b.idx) WHERE c > 0
+""")
 def pair_iou(spark, sf):
-    a = d.boxes(spark, sf).select("image", F.col("idx").alias("i"), "bbox", "label")
-    b = a.select("image", F.col("i").alias("j"), F.col("bbox").alias("other"), F.col("label").alias("name"))
-    pairs = a.join(b, "image").where("i <> j").where(g.intersection(F.col("bbox"), F.col("other")) > 0)
-    return pairs.select("image", "i", "j", g.iou(F.col("bbox"), F.col("other")).alias("iou"), g.containment(F.col("bbox"), F.col("other")).alias("contained"), g.share_a_word(F.col("label"), F.col("name")).alias("shared"))
+    found = d.lists(d.boxes(spark, sf), "label", "bbox")
+    one = found.select("image", "dets", F.explode("dets").alias("a"))
+    met = F.filter("dets", lambda b: (b["idx"] != F.col("a.idx")) & (g.intersection(F.col("a.bbox"), b["bbox"]) > 0))
+    pairs = one.select("image", "a", F.explode(met).alias("b"))
+    a, b = F.col("a.bbox"), F.col("b.bbox")
+    return pairs.select(
+        "image", F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), g.iou(a, b).alias("iou"), g.containment(a, b).alias("contained"),
+        g.share_a_word(F.col("a.label"), F.col("b.label")).alias("shared"),
+    )
 
 
 @query("nms_survivors", _DET + _KEPT + "SELECT image, idx FROM kept")
 def nms_survivors(spark, sf):
-    return d.suppressed_images(d.boxes(spark, sf)).select("image", F.explode("dets").alias("x")).select("image", F.col("x.idx").alias("idx"))
+    found = d.suppressed_lists(d.boxes(spark, sf))
+    return found.select("image", F.explode("dets").alias("x")).select("image", F.col("x.idx").alias("idx"))
 
 
-@query("n_objects", _DET + _KEPT + "SELECT image, n_objects, n_objects >= 2 AS valid, CASE WHEN n_objects = 0 THEN 'no_objects' WHEN n_objects < 2 THEN 'too_few_objects: ' || n_objects || ' detected (threshold 2)' END AS filter_reason FROM (SELECT image, count(*) AS n_objects FROM kept GROUP BY image)")
+@query("n_objects", _DET + _KEPT + """
+SELECT image, n_objects, n_objects >= 2 AS valid,
+  CASE WHEN n_objects = 0 THEN 'no_objects' WHEN n_objects < 2 THEN 'too_few_objects: ' || n_objects || ' detected (threshold 2)' END AS filter_reason
+FROM (
+  SELECT image, count(*) AS n_objects FROM kept GROUP BY image
+  UNION ALL SELECT -o_orderkey, 0 FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey))
+""")
 def n_objects(spark, sf):
-    n = d.suppressed_images(d.boxes(spark, sf)).select("image", F.size("dets").cast("long").alias("n_objects"))
+    """Images are orders; one without lines has no objects."""
+    found = d.suppressed_lists(d.boxes(spark, sf)).select("image", F.size("dets").cast("long").alias("n_objects"))
+    bare = stages.not_done(table(spark, sf, "orders").select(F.col("o_orderkey").alias("image")), found, "image")
+    n = found.unionByName(bare.select((-F.col("image")).alias("image"), F.lit(0).cast("long").alias("n_objects")))
     return n.select("image", "n_objects", (F.col("n_objects") >= 2).alias("valid"), stages.complexity_reason(F.col("n_objects")).alias("filter_reason"))
 
 
@@ -174,7 +217,14 @@ def free_space(spark, sf):
     return d.images(d.boxes(spark, sf)).select("image", F.explode("dets").alias("x")).select("image", F.col("x.idx").alias("idx"), F.col("x.free_space").alias("free_space"))
 
 
-@query("scene_graph_text")
+@query("scene_graph_text", _DET + _KEPT + _SIDES + """
+SELECT image, 'SCENE GRAPH (' || count(*) || ' objects detected):' || chr(10) || string_agg(
+  place || '. ' || label || ' [' || position || '] conf=' || printf('%.2f', confidence) || ' depth=' || coalesce(printf('%.3f', depth), 'n/a')
+  || ' depth_rank=' || depth_rank || ' area_rank=' || area_rank || chr(10) || '   ' || free_space, chr(10) ORDER BY place) AS scene_graph
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY image ORDER BY CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END, (x2 - x1) * (y2 - y1) DESC, idx) AS place
+  FROM ranked JOIN kept USING (image, idx) JOIN free USING (image, idx)) GROUP BY image
+""")
 def scene_graph_text(spark, sf):
     return d.suppressed_images(d.boxes(spark, sf)).select("image", g.scene_text(F.col("dets")).alias("scene_graph"))
 
@@ -187,25 +237,76 @@ def scene_graph_lines(spark, sf):
 
 @query("top_by_area", _DET + "SELECT image, idx FROM ranked WHERE area_rank <= 3")
 def top_by_area(spark, sf):
-    return d.images(d.boxes(spark, sf)).select("image", F.explode(g.top(F.col("dets"), 3)).alias("x")).select("image", F.col("x.idx").alias("idx"))
-
-
-@query("nearest_per_label", _DET + "SELECT image, label, idx FROM (SELECT *, row_number() OVER (PARTITION BY image, label ORDER BY CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END, idx) AS r FROM ranked) WHERE r = 1")
+    found = d.lists(d.ranked(d.boxes(spark, sf)), "area_rank")
+    return found.select("image", F.explode(g.top(F.col("dets"), 3)).alias("x")).select("image", F.col("x.idx").alias("idx"))
+
+
+@query("top_25", """
+SELECT image, string_agg(idx, ',' ORDER BY idx) AS kept FROM (
+  SELECT l_orderkey // 16 AS image, l_orderkey * 10 + l_linenumber AS idx, row_number() OVER (
+    PARTITION BY l_orderkey // 16 ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS area_rank
+  FROM lineitem) WHERE area_rank <= 25 GROUP BY image
+""")
+def top_25(spark, sf):
+    """Images with some sixty detections: only the 25 largest stay."""
+    image = F.floor(F.col("l_orderkey") / 16)
+    order = Window.partitionBy(image).orderBy(F.col("l_quantity").desc(), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    rows = table(spark, sf, "lineitem").select(image.alias("image"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("idx"), F.row_number().over(order).alias("area_rank"))
+    kept = g.top(F.col("dets"))
+    return d.lists(rows, "area_rank").select("image", F.array_join(F.sort_array(F.transform(kept, lambda x: x["idx"])).cast("array<string>"), ",").alias("kept"))
+
+
+@query("nearest_per_label", _DET + """
+SELECT image, label, idx FROM (
+  SELECT image, lower(label) AS label, idx, row_number() OVER (
+    PARTITION BY image, lower(label) ORDER BY CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END, idx) AS r FROM ranked) WHERE r = 1
+""")
 def nearest_per_label(spark, sf):
     rank = F.coalesce(F.nullif("depth_rank", F.lit(0)), F.lit(g.UNRANKED))
+    rows = d.ranked(_shouted(d.boxes(spark, sf))).withColumn("label", g.label_key(F.col("label")))
     place = F.row_number().over(Window.partitionBy("image", "label").orderBy(rank, "idx"))
-    return d.ranked(d.boxes(spark, sf)).withColumn("r", place).where("r = 1").select("image", "label", "idx")
+    return rows.withColumn("r", place).where("r = 1").select("image", "label", "idx")
 
 
-@query("last_per_position", _DET + "SELECT image, label, position, max(idx) AS idx FROM ranked GROUP BY ALL")
+@query("last_per_position", _DET + "SELECT image, lower(label) AS label, position, max(idx) AS idx FROM ranked GROUP BY ALL")
 def last_per_position(spark, sf):
-    return d.placed(d.boxes(spark, sf)).groupBy("image", "label", "position").agg(F.max("idx").alias("idx"))
-
-
-@query("crop_box", _DET + "SELECT image, idx, greatest(0, trunc(x1 - (x2 - x1) * 0.05)::INTEGER) AS left_, greatest(0, trunc(y1 - (y2 - y1) * 0.05)::INTEGER) AS top_, least(280, trunc(x2 + (x2 - x1) * 0.05)::INTEGER) AS right_, least(180, trunc(y2 + (y2 - y1) * 0.05)::INTEGER) AS bottom_ FROM boxes")
+    rows = d.placed(_shouted(d.boxes(spark, sf))).withColumn("label", g.label_key(F.col("label")))
+    return rows.groupBy("image", "label", "position").agg(F.max("idx").alias("idx"))
+
+
+@query("detection_lookup", _DET + """
+, asked AS (SELECT DISTINCT image, lower(label) AS label, p.position FROM ranked, (VALUES ('left-near'), ('center-mid'), (NULL)) AS p(position)),
+exact AS (SELECT image, lower(label) AS label, position, max(idx) AS idx FROM ranked GROUP BY ALL),
+near AS (
+  SELECT image, lower(label) AS label, arg_min(idx, (CASE WHEN depth_rank = 0 THEN 9999 ELSE depth_rank END) * 1000 + idx) AS idx FROM ranked GROUP BY ALL)
+SELECT a.image, a.label, a.position, coalesce(e.idx, n.idx) AS idx FROM asked a
+JOIN near n USING (image, label) LEFT JOIN exact e ON e.image = a.image AND e.label = a.label AND e.position = a.position
+""")
+def detection_lookup(spark, sf):
+    """Each label of an image, in another case, looked up at two positions and at none."""
+    found = d.lists(d.placed(d.ranked(_shouted(d.boxes(spark, sf)))), "label", "position", "depth_rank")
+    labels = F.array_distinct(F.transform("dets", lambda x: g.label_key(x["label"])))
+    asked = found.select("image", "dets", F.explode(labels).alias("label"))
+    asked = asked.select("image", "dets", "label", F.explode(F.array(F.lit("left-near"), F.lit("center-mid"), F.lit(None))).alias("position"))
+    hit = g.detection_for(F.col("dets"), F.initcap("label"), F.col("position"))
+    return asked.select("image", "label", "position", hit["idx"].alias("idx"))
+
+
+@query("crop_box", _DET + """
+, cuts AS (
+  SELECT image, idx, greatest(0, trunc(x1 - 14)::INTEGER) AS left_, greatest(0, trunc(y1 - 9)::INTEGER) AS top_,
+    least(280, trunc(x1 + (x2 - x1) * (l % 5) / 8 + 14)::INTEGER) AS right_, least(180, trunc(y1 + (y2 - y1) * (l % 5) / 8 + 9)::INTEGER) AS bottom_
+  FROM (SELECT *, idx AS l FROM boxes) WHERE idx % 4 <> 0)
+SELECT * FROM cuts WHERE right_ > left_ AND bottom_ > top_ AND (right_ - left_) * (bottom_ - top_) / (280.0 * 180.0) >= 0.03
+""")
 def crop_box(spark, sf):
+    """Boxes of several sizes, every fourth of an image outside it; a higher least area than in use lets the filter drop some."""
     w, h = F.lit(d.WIDTH), F.lit(d.HEIGHT)
-    rows = d.boxes(spark, sf).withColumn("crop", g.crop_box(F.col("bbox"), w, h)).where(g.crop_kept(F.col("crop"), w, h))
+    x, b = lambda i: F.get("bbox", F.lit(i)), F.col("idx") % 5
+    small = F.array(x(0), x(1), x(0) + (x(2) - x(0)) * b / 8, x(1) + (x(3) - x(1)) * b / 8)
+    outside = F.array(x(0) - 400, x(1), x(0) - 300, x(3))
+    rows = d.boxes(spark, sf).withColumn("box", F.when(F.col("idx") % 4 == 0, outside).otherwise(small))
+    rows = rows.withColumn("crop", g.crop_box(F.col("box"), w, h)).where(g.crop_kept(F.col("crop"), w, h, 0.03))
     return rows.select("image", "idx", *[F.get("crop", F.lit(i)).alias(n) for i, n in enumerate(("left_", "top_", "right_", "bottom_"))])
 
 
@@ -215,16 +316,24 @@ def verdict_filter(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", responses.rejected(answer).alias("rejected"))
 
 
-@query("strip_fences", "SELECT doc_id, md5(trim(left(text, 40), chr(10) || ' ')) AS inner_md5 FROM documents")
+@query("strip_fences", "SELECT doc_id, md5(trim(text, chr(10) || chr(11) || chr(12) || chr(13) || chr(9) || ' ')) AS inner_md5 FROM documents WHERE NOT contains(text, '```')")
 def strip_fences(spark, sf):
-    head = F.left("text", F.lit(40))
-    fenced = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("see\n```json\n"), head, F.lit("\n``` and ```x```"))).otherwise(F.concat(F.lit("\n"), head, F.lit(" ")))
-    return table(spark, sf, "documents").select("doc_id", F.md5(responses.strip_fences(fenced).cast("binary")).alias("inner_md5"))
+    """Whole texts, half of them in a fence after other words and before another fence."""
+    text = F.col("text")
+    fenced = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("see\n```json\n"), text, F.lit("\n``` and ```x```"))).otherwise(F.concat(F.lit("\n"), text, F.lit(" ")))
+    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("```")))
+    return rows.select("doc_id", F.md5(responses.strip_fences(fenced).cast("binary")).alias("inner_md5"))
 
 
-@query("known_labels", _DET + _KEPT + "SELECT image, array_to_string(list_sort(list_distinct(list(lower(label)))), ',') AS labels FROM ranked JOIN kept USING (image, idx) GROUP BY image")
+@query("known_labels", _DET + _KEPT + """
+SELECT image, string_agg(label, ',' ORDER BY first) AS labels FROM (
+  SELECT image, lower(label) AS label, min((x2 - x1) * (y2 - y1) * -1000 + idx) AS first FROM boxes JOIN kept USING (image, idx) GROUP BY ALL) GROUP BY image
+""")
 def known_labels(spark, sf):
-    return scene_graph_text(spark, sf).select("image", F.array_join(F.sort_array(responses.known_labels(F.col("scene_graph"))), ",").alias("labels"))
+    """Labels read back from numbered lines, in their order."""
+    lines = F.transform("dets", lambda x, i: F.concat((i + 1).cast("string"), F.lit(".  "), x["label"], F.lit(" [left] 2. no label")))
+    text = F.concat(F.lit("objects:\n"), F.array_join(lines, "\n"))
+    return d.suppressed_lists(_shouted(d.boxes(spark, sf))).select("image", F.array_join(responses.known_labels(text), ",").alias("labels"))
 
 
 @query("vocab_filter", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type || ',' || event_type ELSE '' END AS kept, CASE WHEN event_type IN ('high', 'medium') THEN event_type ELSE 'medium' END AS confidence FROM events")
@@ -247,13 +356,21 @@ def export_projection(spark, sf):
 
 @query("caption_fake", "SELECT doc_id, md5('Describe: ' || lang || ' ' || source) AS new_caption, NULL::VARCHAR AS error FROM documents")
 def caption_fake(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", F.lit("Describe:"), "lang", "source").alias("prompt"))
-    return backends.answered(rows, "prompt", backends.get_backend("fake"), "new_caption").drop("prompt")
+    """A table that has columns of the names made here, which are replaced."""
+    rows = table(spark, sf, "documents").select(
+        "doc_id", F.concat_ws(" ", F.lit("Describe:"), "lang", "source").alias("prompt"), F.lit("old").alias("new_caption"), F.lit("old").alias("New_Caption_error"),
+    )
+    found = backends.answered(rows, {"new_caption": "prompt"}, backends.get_backend(Config(vlm_backend="fake")))
+    return found.select("doc_id", "new_caption", F.col("new_caption_error").alias("error"))
 
 
-@query("depth_normalise", "SELECT vec_id, list_transform(embedding, lambda x: 1 - coalesce((x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0))[1] AS first_depth FROM embeddings")
+@query("depth_normalise", """
+SELECT vec_id, list_transform(embedding, lambda x: round(1 - coalesce(
+  (x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0), 9)) AS depths FROM embeddings
+""")
 def depth_normalise(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", F.get(g.normalised_depths(F.col("embedding").cast("array<double>")), F.lit(0)).alias("first_depth"))
+    depths = g.normalised_depths(F.col("embedding").cast("array<double>"))
+    return table(spark, sf, "embeddings").select("vec_id", F.transform(depths, lambda x: F.round(x, 9)).alias("depths"))
 
 
 @query("semantic_parse", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS environment, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ':graspable,graspable:medium' END AS objects, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ' near None high' END AS relations, CASE WHEN doc_id % 5 = 0 THEN 'not JSON' END AS error FROM documents")

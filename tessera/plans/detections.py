@@ -19,7 +19,11 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = (F.col("l_partkey") % 8 * 20).cast("double"), (F.col("l_suppkey") % 6 * 20).cast("double")
     depth = F.when(~((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 7)), F.col("l_discount") * 10)
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return rows.select(F.col("l_orderkey").alias("image"), F.row_number().over(order).alias("idx"), F.col("p_name").alias("label"), F.array(x, y, x + 40 + 2 * F.col("l_quantity"), y + 30 + F.col("l_quantity")).alias("bbox"), (F.col("l_quantity") / 64).alias("confidence"), depth.alias("depth_value"), F.col("l_quantity").alias("mask_area"))
+    bbox = F.array(x, y, x + 40 + 2 * F.col("l_quantity"), y + 30 + F.col("l_quantity"))
+    return rows.select(
+        F.col("l_orderkey").alias("image"), F.row_number().over(order).alias("idx"), F.col("p_name").alias("label"), bbox.alias("bbox"),
+        (F.col("l_quantity") / 51).alias("confidence"), depth.alias("depth_value"), F.col("l_quantity").alias("mask_area"),
+    )
 
 
 def ranked(rows: DataFrame) -> DataFrame:
@@ -33,14 +37,25 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("position", g.position(g.horizontal(F.col("bbox"), F.lit(WIDTH)), g.vertical(F.col("depth_value"))))
 
 
+def lists(rows: DataFrame, *cols: str) -> DataFrame:
+    """(image, dets): the detections of each image in order, with those of their columns that a query needs."""
+    return rows.groupBy("image").agg(F.sort_array(F.collect_list(F.struct("idx", *cols))).alias("dets"))
+
+
 def images(rows: DataFrame) -> DataFrame:
     """(image, dets): the detections of each image in order, with ranks, positions and free space."""
-    d = F.struct("idx", "label", "bbox", "confidence", "depth_value", "position", "depth_rank", "area_rank")
-    lists = placed(ranked(rows)).groupBy("image").agg(F.sort_array(F.collect_list(d)).alias("dets"))
-    others = F.transform("dets", lambda o: o["bbox"])
-    full = F.transform("dets", lambda x: F.struct(x["label"].alias("label"), x["bbox"].alias("bbox"), x["confidence"].alias("confidence"), x["depth_value"].alias("depth_value"), x["position"].alias("position"), x["depth_rank"].alias("depth_rank"), x["area_rank"].alias("area_rank"), g.free_space(x["label"], g.free_sides(x["bbox"], F.col("boxes"), F.lit(WIDTH), F.lit(HEIGHT))).alias("free_space"), x["idx"].alias("idx")))
-    return lists.withColumn("boxes", others).select("image", full.alias("dets"))
+    found = lists(placed(ranked(rows)), "label", "bbox", "confidence", "depth_value", "position", "depth_rank", "area_rank")
+    names = ("label", "bbox", "confidence", "depth_value", "position", "depth_rank", "area_rank")
+    clear = lambda x: g.free_space(x["label"], g.free_sides(x["bbox"], F.col("boxes"), F.lit(WIDTH), F.lit(HEIGHT)))
+    full = F.transform("dets", lambda x: F.struct(*[x[n].alias(n) for n in names], clear(x).alias("free_space"), x["idx"].alias("idx")))
+    return found.withColumn("boxes", F.transform("dets", lambda o: o["bbox"])).select("image", full.alias("dets"))
 
 
 def suppressed_images(rows: DataFrame) -> DataFrame:
     return images(rows).select("image", g.survivors(F.col("dets"), KIND).alias("dets"))
+
+
+def suppressed_lists(rows: DataFrame) -> DataFrame:
+    """(image, dets) after suppression with idx, label and box only: no ranks and no free space are worked out."""
+    kind = "array<struct<idx:int,label:string,bbox:array<double>>>"
+    return lists(rows, "label", "bbox").select("image", g.survivors(F.col("dets"), kind).alias("dets"))
