@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import materialize
+
 #: BM25 constants.
 K1, B = 1.2, 0.75
 #: A training passage has PASSAGE words; the next one begins STRIDE words later.
@@ -26,8 +28,11 @@ THRESHOLD = 0.7
 SHINGLE, OVERLAP = 5, 0.8
 #: The last part of an item's words is its answer.
 ANSWER_PART = 0.2
-#: Units of a postings block; groups of units for the two bounds; items of one index (more items: more passes).
-BLOCK, COARSE, FINE, ITEMS_MAX = 8, 24, 240, 5_000
+#: Units of a postings block; groups of units for the two bounds.
+BLOCK, COARSE, FINE = 8, 24, 240
+#: Items and characters of items of one index, about; beyond, there are more indexes, each read against all documents.
+#: All share the statistics of all items, so a score does not depend on how items are dealt.
+ITEMS_MAX, CHARS_MAX = 5_000, 4_000_000
 #: Words that are bounded at once.
 CHUNK = 100_000
 _WORD = re.compile(r"\w+")
@@ -73,10 +78,28 @@ class Cursor:
         return float(self.peaks[b]), int(self.items[min(len(self.items), (b + 1) * BLOCK) - 1])
 
 
+def units_of(words: list[str]) -> list[list[str]]:
+    """An item's words in units of nearly equal length, at most UNIT words each."""
+    n = -(-len(words) // UNIT)
+    edges = [round(j * len(words) / n) for j in range(n + 1)] if n else []
+    return [words[x:y] for x, y in zip(edges, edges[1:], strict=False)]
+
+
+class Statistics:
+    """Of all units: how many there are, their mean length, and in how many each term stands."""
+
+    def __init__(self, units: int, words: int, df: dict[str, int]):
+        self.units, self.mean, self.df = units, words / max(1, units), df
+
+    @classmethod
+    def of(cls, units: list[list[str]]) -> Statistics:
+        return cls(len(units), sum(map(len, units)), Counter(t for w in units for t in set(w)))
+
+
 class ItemIndex:
     """An inverted index of test items; impacts are parts of an item's BM25 score with itself."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], statistics: Statistics | None = None):
         kept = [(i, w) for i, t in items if (w := words_of(t))]
         self.ids = [i for i, _ in kept]
         self.parts = []
@@ -85,23 +108,22 @@ class ItemIndex:
         for k, (_, w) in enumerate(kept):
             cut = len(w) - max(1, round(len(w) * ANSWER_PART)) if len(w) > 1 else len(w)
             self.parts.append((len(w), w[:cut], w[cut:]))
-            n = -(-len(w) // UNIT)
-            edges = [round(j * len(w) / n) for j in range(n + 1)]
-            units += [w[x:y] for x, y in zip(edges, edges[1:], strict=False)]
-            self.owner += [k] * n
+            cuts = units_of(w)
+            units += cuts
+            self.owner += [k] * len(cuts)
         n = len(units)
-        df = Counter(t for w in units for t in set(w))
-        mean = sum(map(len, units)) / max(1, n)
-        self.terms = {t: k for k, t in enumerate(df)}
-        posting: list[list[tuple[int, float]]] = [[] for _ in df]
+        all_ = statistics or Statistics.of(units)
+        df, total, mean = all_.df, all_.units, all_.mean
+        self.terms = {t: k for k, t in enumerate(dict.fromkeys(t for w in units for t in w))}
+        posting: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for i, w in enumerate(units):
-            score = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(w) / mean)) for t, f in Counter(w).items()}
+            score = {t: math.log(1 + (total - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(w) / mean)) for t, f in Counter(w).items()}
             whole = sum(score.values())
             for t, s in score.items():
                 posting[self.terms[t]].append((i, s / whole))
         self.postings = []
         # bounds: a term's largest impact in each group of units
-        self.coarse, self.fine = (np.zeros((len(df), -(-n // max(1, -(-n // g))) if n else 1), dtype=np.float32) for g in (COARSE, FINE))
+        self.coarse, self.fine = (np.zeros((len(self.terms), -(-n // max(1, -(-n // g))) if n else 1), dtype=np.float32) for g in (COARSE, FINE))
         for k, p in enumerate(posting):
             at, impacts = np.array([i for i, _ in p]), np.array([s for _, s in p])
             self.postings.append((at, impacts, np.maximum.reduceat(impacts, np.arange(0, len(p), BLOCK)), float(impacts.max())))
@@ -203,19 +225,44 @@ class ItemIndex:
 
 
 def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", items_max: int = ITEMS_MAX) -> Iterator[ItemIndex]:
-    """Indexes of at most about items_max items each, so that no task or driver holds all items at any size."""
+    """Indexes of at most about items_max items and CHARS_MAX characters each, so that no task or driver holds all items at any size."""
     rows = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    parts = max(1, -(-rows.count() // items_max))
+    n, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
+    parts = max(1, -(-n // items_max), -(-chars // CHARS_MAX))
+    if parts == 1:
+        yield ItemIndex([(r.i, r.t) for r in rows.orderBy("i", "t").collect()])
+        return
+    rows = rows.withColumn("p", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: list[tuple[int, str | None, int, int]] = []
+            for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                units = units_of(words_of(t))
+                found.append((p, None, len(units), sum(map(len, units))))
+                found += [(p, term, k, 0) for term, k in Counter(t for w in units for t in set(w)).items()]
+            cols = list(zip(*found, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["p", "term", "units", "words"])
+
+    terms = materialize(rows.select("p", "t").mapInArrow(count, "p long, term string, units long, words long"), "item-terms")
+    units, words = terms.where("term is null").agg(F.sum("units"), F.sum("words")).first()
+    named = terms.where("term is not null")
+    df = materialize(named.groupBy("term").agg(F.sum("units").alias("df")), "item-df")
     for p in range(parts):
-        yield ItemIndex([(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p).orderBy("i", "t").collect()])
+        own = df.join(named.where(F.col("p") == p).select("term"), "term", "left_semi")
+        yield ItemIndex([(r.i, r.t) for r in rows.where(F.col("p") == p).orderBy("i", "t").collect()], Statistics(units, words, {r.term: r.df for r in own.collect()}))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", items_max: int = ITEMS_MAX) -> DataFrame:
     """(id, item, score, question, answer) of every document and test item that it holds.
 
     Documents without a match have no row; null and empty texts and items match
-    nothing; equal items all match; repeated documents give repeated rows.
+    nothing; very long texts are read whole, in pieces that overlap by a passage;
+    equal items all match, and so do items of equal score; repeated documents
+    give repeated rows; other columns, whatever their names, are not read; an
+    empty table on either side gives no rows.
     """
+    spark = docs.sparkSession
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     schema = f"{id_col} {kinds[0]}, {item_col} {kinds[1]}, score double, question double, answer double"
     item_type = to_arrow_type(items.schema[item_col].dataType)
@@ -223,9 +270,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     out = None
     for index in item_indexes(items, item_col, item_text_col, items_max):
 
-        def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], index=spark.sparkContext.broadcast(index)) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                rows = [(d, *m) for d, found in zip(b.column(0).to_pylist(), index.matches(b.column(1).to_pylist()), strict=True) for m in found]
+                rows = [(d, *m) for d, found in zip(b.column(0).to_pylist(), index.value.matches(b.column(1).to_pylist()), strict=True) for m in found]
                 if rows:
                     kinds = [b.column(0).type, item_type, *[pa.float64()] * 3]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[id_col, item_col, "score", "question", "answer"])
@@ -236,13 +283,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", items_max: int = ITEMS_MAX) -> DataFrame:
-    """The rows of docs that hold no test item, with all their columns; no shuffle."""
-    at = docs.columns.index(text_col)
+    """The rows of docs that hold no test item, with all their columns; no shuffle.
+
+    Null and empty texts hold nothing and stay; repeated rows stay or go alike;
+    an empty table of items leaves all rows, an empty table of docs gives none.
+    """
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
     for index in item_indexes(items, item_col, item_text_col, items_max):
 
-        def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], index=spark.sparkContext.broadcast(index)) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                yield b.filter(pa.array([not found for found in index.matches(b.column(at).to_pylist())], pa.bool_()))
+                yield b.filter(pa.array([not found for found in index.value.matches(b.column(at).to_pylist())], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -91,6 +91,28 @@ def test_items_in_several_indexes(spark):
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i, _ in items[::2]]
 
 
+def test_scores_do_not_depend_on_how_items_are_dealt(spark):
+    """Items of unequal length with shared words, ties among equal items, near misses."""
+    rnd = random.Random(8)
+    word = lambda: f"w{min(int(rnd.expovariate(0.02)), 400)}"
+    items = [(i, " ".join(word() for _ in range(rnd.choice([4, 15, 30, 90])))) for i in range(80)] + [(200, "a tie of two items"), (201, "a tie of two items"), (202, None), (203, "")]
+    docs = []
+    for i, t in items:
+        w = (t or "").split()
+        if w:
+            w[rnd.randrange(len(w))] = word()
+        docs.append((i, " ".join(word() for _ in range(50)) + " " + " ".join(w)))
+    docs = spark.createDataFrame([*docs, (900, None), (900, None)], "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    key = lambda rows: sorted((r.doc_id, r.item_id, round(r.score, 9), r.question, r.answer) for r in rows)
+    whole = key(dc.contaminated(docs, items).collect())
+    assert len(whole) > 40
+    for most in (20, 7):
+        assert key(dc.contaminated(docs, items, items_max=most).collect()) == whole
+    left = {r.doc_id for r in dc.without_contaminated(docs, items, items_max=20).collect()}
+    assert left == {r.doc_id for r in docs.collect()} - {d for d, *_ in whole}
+
+
 def test_one_edited_word_at_every_position():
     rnd = random.Random(11)
     items = [(n, [f"q{rnd.randrange(3000)}" for _ in range(n)]) for n in (15, 22, 31, 44, 59)]
