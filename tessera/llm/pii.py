@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -17,18 +18,24 @@ from .tagger import Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window, how far windows are apart, and context kept beside what may be personal data.
-WINDOW, STEP, MARGIN = 96, 48, 32
+WINDOW, STEP, MARGIN = 96, 48, 40
 #: Labelled windows: made ones, and at most so many read from the corpus.
-MADE, SAMPLE_MAX, EPOCHS = 1600, 800, 5
+MADE, SAMPLE_MAX, EPOCHS = 2400, 800, 8
+#: Characters of the longest address.
+EMAIL_MAX = 254
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-#: No span is without one of these; windows are laid around them only.
-_TRIGGER = re.compile(r"[0-9@]|[\[({<] ?(?:at|dot) ?[\])}>]", re.IGNORECASE)
-_AT = re.compile(r"@|[\[({<] ?at ?[\])}>]| at ", re.IGNORECASE)
-_DOT = re.compile(r"\.|[\[({<] ?dot ?[\])}>]| dot ", re.IGNORECASE)
+#: What stands for the marks of an address: an @, or a bracketed at; a spelled at counts with a spelled dot after it.
+_AT = re.compile(r"@|[\[({<] ?at ?[\])}>]", re.IGNORECASE)
+_SPELLED_AT = re.compile(r"\sat\s", re.IGNORECASE)
+_DOT = re.compile(r"\.|[\[({<] ?dot ?[\])}>]|\sdot\s", re.IGNORECASE)
+_SPELLED_DOT = re.compile(r"[\[({<] ?dot ?[\])}>]|\sdot\s", re.IGNORECASE)
+#: Every span that passes its check (plausible) holds one of these, so text far from them can hold none: windows are
+#: laid around them and leave out no span.
+_TRIGGER = re.compile(r"[0-9@]|[\[({<] ?(?:at|dot) ?[\])}>]|\sdot\s", re.IGNORECASE)
 
 Span = tuple[str, int, int]
 
@@ -91,8 +98,11 @@ def made_windows(n: int = MADE, seed: int = 0) -> list[tuple[str, list[Span]]]:
     digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
 
     def email() -> str:
-        at, dot = r.choice([("@", "."), ("@", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "."), (" at ", " (dot) "), (" @ ", ".")])
-        return word(2, 7) + r.choice(["", ".", "_", "."]) + r.choice(["", digits(2), word(2, 5)]) + at + dot.join([word(3, 7) + r.choice(["", digits(1)]), r.choice(["example", word(3, 6)]), r.choice(["com", "org", "net", "de"])][r.choice([0, 1]) :])
+        at, dot = r.choice([("@", "."), ("@", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "."), (" at ", " (dot) "), (" at ", " dot "), (" At ", " Dot "), ("{at}", "{dot}"), (" @ ", ".")])
+        local = r.choice([".", "_", "-", "."]).join(word(1, 7) for _ in range(r.choice([1, 1, 2, 2, 3]))) + r.choice(["", "", digits(1), digits(2)])
+        host = word(3, 8) + r.choice(["", "", digits(1), f"-{word(2, 9)}"])
+        names = [*([r.choice(["mail", "example", word(3, 6)])] if r.random() < 0.4 else []), host]
+        return local + at + dot.join([*names, r.choice(["com", "org", "net", "de", "io", "edu", "fr", "co", word(2, 3)])])
 
     def ip() -> str:
         return r.choice([".", ".", ".", "[.]", " . ", "(.)"]).join(str(r.randint(0, 255)) for _ in range(4))
@@ -145,7 +155,12 @@ def plausible(kind: str, s: str) -> bool:
     """The exact check that an added span must pass."""
     d = digits_of(s)
     if kind == "email":
-        return bool((m := _AT.search(s)) and m.start() > 0 and _DOT.search(s, m.end()) and s[-1:].isalnum() and (m[0] != " at " or "dot" in s.lower()))
+        at = _AT.search(s)
+        dot = _DOT.search(s, at.end()) if at else None
+        if not dot:
+            at = _SPELLED_AT.search(s)
+            dot = _SPELLED_DOT.search(s, at.end() - 1) if at else None
+        return bool(at and dot and at.start() > 0 and s[0].isalnum() and s[-1].isalnum() and len(s) <= EMAIL_MAX)
     if kind == "ip":
         parts = re.findall(r"[0-9]+", s)
         return len(parts) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in parts) and s[:1].isdigit() and s[-1:].isdigit()
@@ -191,12 +206,24 @@ def tag_spans(row: np.ndarray, start: int, end: int) -> list[Span]:
     return [s for s in out if s[1] < s[2]]
 
 
+def joined(found: list[Span]) -> list[Span]:
+    """The spans, and for spans of one kind that overlap or touch, as neighbouring windows cut them, the whole they make up."""
+    out = set(found)
+    for kind in KINDS:
+        run: Span | None = None
+        for _, a, b in sorted(s for s in out if s[0] == kind):
+            if run and a <= run[2]:
+                run = (kind, run[1], max(run[2], b))
+            else:
+                run = (kind, a, b)
+            out = out | {run}
+    return sorted(out, key=lambda s: (s[1] - s[2], s[1], s[0]))
+
+
 def reconciled(text: str, base: list[Span], found: list[Span]) -> list[Span]:
     """Base spans, and those found in any window that pass their check: the longest first, none overlapping another."""
     kept, taken = list(base), sorted((a, b) for _, a, b in base)
-    import bisect
-
-    for kind, a, b in sorted(set(found), key=lambda s: (s[1] - s[2], s[1], s[0])):
+    for kind, a, b in joined(found):
         k = bisect.bisect_left(taken, (a, b))
         clear = (k == 0 or max(e for _, e in taken[max(0, k - 4) : k]) <= a) and (k == len(taken) or taken[k][0] >= b)
         if clear and plausible(kind, text[a:b]):
@@ -220,7 +247,7 @@ def fit(docs: DataFrame | None = None, text_col: str = "text", sample_max: int =
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = {t[a : a + WINDOW] for t in b.column(0).to_pylist() if t for a in windows_of(t)[:4]}
+                found = {t[a : a + WINDOW] for t in b.column(0).to_pylist() if t for a in windows_of(t)}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["w"])
 
         rows = docs.select(text_col).mapInArrow(cut, "w string")

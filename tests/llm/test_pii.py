@@ -51,12 +51,60 @@ def test_held_out_spans_and_clean_texts():
     for (w, spans), (_, found) in zip(test, model.spans([w for w, _ in test]), strict=True):
         inside = {s for s in spans if s[1] >= 0 and s[2] <= len(w)}
         want, got, hit = want + len(inside), got + len(found), hit + len(inside & set(found))
-    assert hit / want >= 0.8 and hit / got >= 0.85, (hit / want, hit / got)
+    assert hit / want >= 0.9 and hit / got >= 0.9, (hit / want, hit / got)
+    own = disguised(300, 7)
+    found = [set(f) for _, f in model.spans([t for t, _ in own])]
+    assert sum(s in f for (_, s), f in zip(own, found, strict=True)) >= 0.9 * len(own)
+    assert sum(map(len, found)) <= 1.1 * len(own)
+    text = "plain words " * 30 + "ask bob.k at mail dot example dot org today " + "plain words " * 30
+    assert [text[a:b] for _, a, b in model.spans([text])[0][1]] == ["bob.k at mail dot example dot org"]
     text = "write to bob.k [at] mail [dot] example [dot] com now. " + "plain words " * 400 + "version 2.4, page 12 of 30, in 1999."
     base, every = model.spans([text])[0]
     assert base == [] and [text[a:b] for _, a, b in every] == ["bob.k [at] mail [dot] example [dot] com"]
 
 
+def disguised(n, seed):
+    """Spans that the patterns miss, in sentences and of names that the training windows are not made from."""
+    r, out = random.Random(seed), []
+    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    names, hosts = "jane.doe mike_smith a.kumar lucia2 obrien p.q.r tomasz info sales.team k8 zoe-w".split(), "acme widgets-inc mail.corp uni-heidelberg data9 northwind".split()
+    before, after = ["Please contact ", "Reach me under ", "Fragen an ", "my number is ", "server ", "écrivez à ", " - ", "(private) "], [" before Friday.", " thanks!", ", danke", "\nnext line", " for more; ok?"]
+    for _ in range(n):
+        kind = r.choice(pii.KINDS)
+        if kind == "email":
+            at, dot = r.choice([(" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), (" (at) ", "."), ("[at]", "."), (" @ ", ".")])
+            x = r.choice(names) + at + dot.join([*r.choice(hosts).split("."), r.choice("com org net edu io fr".split())])
+        elif kind == "ip":
+            x = r.choice(["[.]", "(.)", " . "]).join(str(r.randint(1, 255)) for _ in range(4))
+        elif kind == "card":
+            b = r.choice("3456") + digits(14)
+            b += next(c for c in "0123456789" if pii.luhn(b + c))
+            x = r.choice([".", "/", "_", "  "]).join(b[i : i + 4] for i in range(0, 16, 4))
+        else:
+            a, b, c = digits(3), digits(3), digits(4)
+            x = r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"00{digits(2)} {a} {b} {c}", f"{a}.{b}.{c}", f"1-{a}-{b}-{c}"])
+        lead = " ".join(r.choice("the order was sent to our office last week because nobody answered".split()) for _ in range(r.randint(0, 25))) + " " + r.choice(before)
+        out.append((lead + x + r.choice(after), (kind, len(lead), len(lead) + len(x))))
+    return out
+
+
+def test_every_plausible_span_lies_in_a_window():
+    """What the tagger does not read cannot hold a span that passes its check."""
+    r = random.Random(3)
+    bits = ["bob", " at ", " dot ", "[at]", "(dot)", ".", "@", "12", "255", " ", "x.y", "polkadot.com", "+", "-", "\n", "mail"]
+    for _ in range(4000):
+        s = "".join(r.choice(bits) for _ in range(r.randint(1, 12)))
+        for kind in pii.KINDS:
+            if pii.plausible(kind, s):
+                assert pii.windows_of("words " * 40 + s + " words" * 40), s
+
+
+def test_a_span_cut_by_windows_is_joined():
+    assert ("email", 0, 120) in pii.joined([("email", 0, 70), ("email", 48, 120), ("ip", 200, 210)])
+    text = "a" * 60 + "@" + "b" * 80 + ".org"
+    assert pii.reconciled("x " + text.replace("@", " (at) "), [], [("email", 2, 98), ("email", 50, 152)]) == [("email", 2, 152)]
+
+
 def test_query(spark):
     got = {r.doc_id: r for r in op8_pii(spark, "/root/testdata/sf0.001").collect()}
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
