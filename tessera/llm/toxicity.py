@@ -20,7 +20,6 @@ from .common import hash_sample, materialize
 TRAIN_MAX = 20_000
 #: One of so many training rows calibrates and is not used for lexicon or trees.
 CALIBRATE = 4
-LEXICON_MAX = 3_000
 #: Likelihood-ratio statistic and toxic rows that a lexicon entry needs.
 LEAST_G, LEAST_ROWS = 18.0, 4
 PREFIXES = (4, 5, 6)
@@ -44,27 +43,29 @@ def prefixes_of(words: set[str]) -> set[str]:
     return {w[:n] for w in words if len(w) > PREFIXES[0] for n in PREFIXES if len(w) > n}
 
 
-def lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings that stand in toxic texts far more often: their log-odds."""
-    out = []
-    n1 = sum(toxic)
-    n0 = len(toxic) - n1
-    for kind in (set, lambda w: prefixes_of(set(w))):
-        bad, good = Counter(), Counter()
-        for t, y in zip(texts, toxic, strict=True):
-            (bad if y else good).update(kind(words_of(t)))
-        found = {}
-        for w, a in bad.items():
-            b = good[w]
-            if a < LEAST_ROWS or a * n0 <= b * n1:
-                continue
-            share = (a + b) / (n0 + n1)
-            g = 2 * (a * math.log(a / (n1 * share)) + (b * math.log(b / (n0 * share)) if b else 0))
-            odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
-            if g >= LEAST_G and odds >= 1.5:
-                found[w] = (g, odds)
-        out.append({w: o for w, (_, o) in sorted(found.items(), key=lambda x: (-x[1][0], x[0]))[:LEXICON_MAX]})
-    return out[0], out[1]
+def entry_kinds(text: str) -> tuple[set[str], set[str]]:
+    """The distinct words of a text, and their beginnings."""
+    words = set(words_of(text))
+    return words, prefixes_of(words)
+
+
+def weight(a: int, b: int, n1: int, n0: int) -> float | None:
+    """The log-odds of an entry in `a` of n1 toxic and `b` of n0 other texts; None if it stands there not far more often."""
+    if a < LEAST_ROWS or a * n0 <= b * n1:
+        return None
+    share = (a + b) / (n0 + n1)
+    g = 2 * (a * math.log(a / (n1 * share)) + (b * math.log(b / (n0 * share)) if b else 0))
+    odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
+    return odds if g >= LEAST_G and odds >= 1.5 else None
+
+
+def lexicon(counts: list[tuple[int, str, int, int]], n1: int, n0: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Words (kind 0) and word beginnings (kind 1) that stand in toxic texts far more often, from (kind, entry, toxic, other)."""
+    out: tuple[dict[str, float], dict[str, float]] = ({}, {})
+    for kind, w, a, b in sorted(counts):
+        if (x := weight(a, b, n1, n0)) is not None:
+            out[kind][w] = x
+    return out
 
 
 class Features:
@@ -104,21 +105,23 @@ class Features:
 
 
 class ToxicityModel:
-    """Learned from texts with labels; deterministic."""
+    """Learned from feature rows with labels; deterministic."""
 
-    def __init__(self, ids: list[int], texts: list[str], toxic: list[int]):
-        hold = [zlib.crc32(f"c{i}".encode()) % CALIBRATE == 0 for i in ids]
-        fit = [k for k, h in enumerate(hold) if not h] or list(range(len(ids)))
-        self.features = Features(*lexicon([texts[k] for k in fit], [toxic[k] for k in fit]))
-        x, y = self.features.matrix(texts), np.array(toxic, dtype=np.float64)
+    def __init__(self, features: Features, x: np.ndarray, y: np.ndarray, held: np.ndarray):
+        """held: rows that calibrate and are not used for the trees."""
+        self.features = features
+        fit = ~held if (~held).any() else np.ones(len(y), dtype=bool)
         self.trees = BoostedTrees().fit(x[fit], y[fit])
-        rest = [k for k, h in enumerate(hold) if h]
-        self.places, self.values = isotonic(self.trees.raw(x[rest]), y[rest]) if len(set(y[rest])) == 2 else (np.array([]), np.array([]))
+        self.places, self.values = isotonic(self.trees.raw(x[held]), y[held]) if len(set(y[held])) == 2 else (np.array([]), np.array([]))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return calibrated(self.trees.raw(self.features.matrix([t or "" for t in texts])), self.places, self.values)
 
 
+def calibrates(id_: object) -> bool:
+    return zlib.crc32(f"c{id_}".encode()) % CALIBRATE == 0
+
+
 def fold(id_: object, folds: int) -> int:
     return zlib.crc32(str(id_).encode()) % folds
 
@@ -127,19 +130,56 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from at most train_max labelled rows, chosen by hash of the id.
 
     Labels may hold ids without documents, repeated ids (the highest label
-    counts) and nulls (left out).  Ids of the sample are bounded by train_max,
-    so they are broadcast; no text of other documents moves.
+    counts) and nulls (left out); of documents that repeat an id the least text
+    counts.  Ids of the sample are bounded by train_max, so they are broadcast.
+    No text reaches the driver: tasks count words for the lexicon, of which the
+    entries that may pass arrive, and then send a row of features for each text.
     """
+    spark = docs.sparkSession
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("y"))
-    chosen = docs.sparkSession.createDataFrame(hash_sample(known, train_max, "id").collect(), known.schema)
+    chosen = spark.createDataFrame(hash_sample(known, train_max, "id").collect(), known.schema)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(chosen), "id")
     rows = rows.groupBy("id").agg(F.min(F.struct("t", "y")).alias("r")).select("id", "r.t", "r.y")  # one row for an id, however often it is repeated
-    got = sorted(materialize(rows, "toxicity-sample").toLocalIterator(), key=lambda r: r.id)
-    return ToxicityModel([r.id for r in got], [r.t for r in got], [r.y for r in got])
+    sample = materialize(rows, "toxicity-sample")
+    classes = sample.select("id", "y").collect()
+    fitting = [r.y for r in classes if not calibrates(r.id)]
+    n1, all_held = sum(fitting), not fitting
+    if all_held:
+        n1, fitting = sum(r.y for r in classes), [r.y for r in classes]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[tuple[int, str, int]] = Counter()
+        for b in batches:
+            for i, t, y in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                if all_held or not calibrates(i):
+                    for kind, entries in enumerate(entry_kinds(t)):
+                        found.update((kind, w, y) for w in entries)
+        cols = list(zip(*[(k, w, n * y, n * (1 - y)) for (k, w, y), n in found.items()], strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["kind", "entry", "toxic", "other"])
+
+    counts = sample.mapInArrow(count, "kind long, entry string, toxic long, other long").groupBy("kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    may = counts.where((F.col("toxic") >= LEAST_ROWS) & (F.col("toxic") * (len(fitting) - n1) > F.col("other") * n1))
+    features = Features(*lexicon([tuple(r) for r in may.collect()], n1, len(fitting) - n1))
+    shared = spark.sparkContext.broadcast(features)
+
+    def row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [r.tolist() for r in shared.value.matrix(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.list_(pa.float64()))], names=["id", "y", "x"])
+
+    kind = sample.schema["id"].dataType.simpleString()
+    got = sorted(sample.mapInArrow(row, f"id {kind}, y int, x array<double>").collect(), key=lambda r: r.id)
+    x = np.array([r.x for r in got], dtype=np.float64).reshape(len(got), len(FEATURES))
+    return ToxicityModel(features, x, np.array([r.y for r in got], dtype=np.float64), np.array([calibrates(r.id) for r in got], dtype=bool))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row; null and empty texts are scored like any other; no shuffle."""
+    """(id, score) of every row; no shuffle.
+
+    Null and empty texts are scored like any other, very long ones whole; equal
+    texts get equal scores, repeated rows repeated rows, an empty table none;
+    other columns, whatever their names, are not read.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

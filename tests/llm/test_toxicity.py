@@ -1,6 +1,12 @@
 """Toxicity: held-out accuracy, and the parts against plain definitions."""
 
+import math
+import random
+import re
+import zlib
+
 import numpy as np
+import pytest
 
 from tessera.llm import boosting, toxicity
 from tessera.llm.queries import op6_toxicity
@@ -27,6 +33,42 @@ def test_edges(spark):
     assert toxicity.scored(docs.limit(0), toxicity.fit(docs.limit(0), some)).count() == 0
 
 
+def test_lexicon_and_features_equal_plain_counts(spark):
+    """The lexicon counted in tasks, and the features read off it, against definitions worked out here."""
+    rnd = random.Random(6)
+    mild, harsh = [f"word{i}" for i in range(60)], ["grumbleton", "blastard", "zonk"]
+    rows = []
+    for i in range(400):
+        y = i % 4 == 0
+        w = [rnd.choice(mild) for _ in range(30)] + ([rnd.choice(harsh), "you"] if y or rnd.random() < 0.02 else [])
+        rnd.shuffle(w)
+        rows.append((i, " ".join(w) + rnd.choice([".", "!!"]), int(y)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    fit = [(t, y) for i, t, y in rows if zlib.crc32(f"c{i}".encode()) % toxicity.CALIBRATE]
+    n1 = sum(y for _, y in fit)
+    n0 = len(fit) - n1
+    want = {}
+    for w in {x for t, _ in fit for x in re.findall(r"[^\W\d_]+", t.lower())}:
+        a, b = (sum(w in re.findall(r"[^\W\d_]+", t.lower()) for t, y in fit if y == k) for k in (1, 0))
+        if a >= 4 and a * n0 > b * n1:
+            p = (a + b) / len(fit)
+            g = 2 * (a * math.log(a / n1 / p) + (b * math.log(b / n0 / p) if b else 0))
+            odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
+            if g >= 18 and odds >= 1.5:
+                want[w] = odds
+    assert model.features.words == pytest.approx(want) and set(harsh) <= set(want)
+    text = "You ZONK, you zonk! b@dly LOUD SHOUTING soooo 12 grumbletons"
+    got = dict(zip(toxicity.FEATURES, model.features.row(text), strict=True))
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    hits = [i for i, w in enumerate(words) if w in want]
+    begun = [i for i, w in enumerate(words) if w not in want and any(w[:n] in model.features.prefixes for n in (4, 5, 6))]
+    near = sum(any(x in toxicity.SECOND_PERSON for x in words[max(0, i - 5) : i + 6]) for i in hits + begun)
+    assert got["density"] == len(hits) / len(words) and got["hits"] == math.log1p(len(hits)) and got["near_you"] == near / len(words)
+    assert got["capitals"] == sum(c.isupper() for c in text) / len(text) and got["exclaims"] == text.count("!") / len(text)
+    assert got["digits"] == 2 / len(text) and got["runs"] == 1 / len(words) and got["peak"] == max(want[words[i]] for i in hits)
+
+
 def test_isotonic_is_the_least_squares_rise():
     rng = np.random.default_rng(2)
     raw = rng.normal(size=400)
