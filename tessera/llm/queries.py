@@ -31,7 +31,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    scorer, counts = lm_score.fit(docs.where(crc32_fold(5) != 1).select("text"))
+    scorer, counts = lm_score.fit(docs.where(crc32_fold(5) != 1))
     found = lm_score.scored(docs, scorer, counts)
     return found.select("doc_id", (crc32_fold(5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(scorer.total).cast("long").alias("train_tokens"), "base_score", "score")
 
