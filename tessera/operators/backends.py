@@ -37,6 +37,21 @@ class FakeBackend:
         return hashlib.md5(image + prompt.encode()).hexdigest()
 
 
+class MoodyBackend:
+    """A stand-in that also fails, says nothing, and answers questions for YES or NO, each by the md5 of image and prompt."""
+
+    def __init__(self, cfg: Config):
+        self.model = cfg.vlm_model
+
+    def call(self, image: bytes, prompt: str) -> str:
+        d = hashlib.md5(image + prompt.encode()).hexdigest()
+        if d[1] in "01":
+            raise ValueError("refused")
+        if "YES or NO" in prompt:
+            return " yes." if d[0] in "01234" else "No, YES would be wrong"
+        return " \n" if d[2] == "0" else f" {d}\n"
+
+
 def data_url(image: bytes) -> str:
     """An image inside a request."""
     return "data:image/jpeg;base64," + base64.b64encode(image).decode()
@@ -90,6 +105,7 @@ class LocalBackend:
 
 BACKENDS: dict[str, Callable[[Config], Backend]] = {
     "fake": FakeBackend,
+    "moody": MoodyBackend,
     "openai": lambda cfg: ChatBackend("https://api.openai.com/v1", cfg.vlm_model, cfg.openai_api_key),
     "vllm": lambda cfg: ChatBackend(cfg.vlm_base_url, cfg.vlm_model, "none"),
     "gemini": GeminiBackend,

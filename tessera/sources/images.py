@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import urllib.error
 import urllib.request
@@ -26,6 +27,20 @@ def http_fetch(timeout: int = 10) -> Fetch:
     return fetch
 
 
+def fake_fetch(url: str) -> bytes:
+    """A deterministic stand-in, by the md5 of the URL: failures of each class, what is no image, and headers of PNG files."""
+    d = hashlib.md5(url.encode()).hexdigest()
+    if d[0] == "0":
+        raise TimeoutError("timed out")
+    if d[0] == "1":
+        raise urllib.error.HTTPError(url, 404, "Not Found", None, None)
+    if d[0] == "2":
+        raise ConnectionResetError("reset")
+    if d[0] == "3":
+        return b"<html>no image</html>"
+    return b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + struct.pack(">II", int(d[2:4], 16) + 1, int(d[4:6], 16) + 1)
+
+
 def error_class(e: Exception) -> str:
     """Timeout, HTTP and the status, or RequestError with the exception's name."""
     if isinstance(e, urllib.error.HTTPError):
