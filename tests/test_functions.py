@@ -99,15 +99,15 @@ def test_stage_laws(spark):
 
 
 def test_backend_errors_are_a_column(spark):
-    def call(p):
-        if p == "bad":
-            raise RuntimeError("no")
-        return p.upper()
+    class Upper:
+        def call(self, image, prompt):
+            if prompt == "bad":
+                raise RuntimeError("no")
+            return prompt.upper() + image.decode()
 
-    got = {r.p: (r.answer, r.error) for r in backends.answered(spark.createDataFrame([("bad",), ("ok",)], "p string"), "p", call).collect()}
-    assert got == {"bad": (None, "RuntimeError: no"), "ok": ("OK", None)}
-    with pytest.raises(ValueError):
-        backends.get_backend("none")
+    rows = spark.createDataFrame([("bad", "old", bytearray(b"1")), ("ok", "old", bytearray(b"2")), (None, "old", None)], "p string, Answer string, i binary")
+    got = {r.p: (r.answer, r.answer_error) for r in backends.answered(rows, {"answer": "p"}, Upper, "i").collect()}
+    assert got == {"bad": (None, "RuntimeError: no"), "ok": ("OK2", None), None: (None, None)}
 
 
 def test_sources_and_stream(spark, tmp_path):
@@ -122,10 +122,15 @@ def test_sources_and_stream(spark, tmp_path):
 
 def test_crop_verdict_and_order(spark):
     kind = "struct<appearance:string,appearance_confidence:string,state:string,state_confidence:string>"
-    verdict = "struct<appearance:string,appearance_confidence:string,appearance_corrected:boolean,state:string,state_confidence:string,state_corrected:boolean>"
-    rows = [(("red", "high", "on", "high"), v) for v in ((None, "medium", True, None, "odd", True), ("blue", "odd", True, "off", "medium", False), (None, None, None, None, None, None))]
-    got = spark.createDataFrame(rows, f"o {kind}, v {verdict}").select(semantic.verified(F.col("o"), F.col("v")).alias("r")).collect()
-    assert [tuple(x.r) for x in got] == [("red", "medium", None, "medium"), ("blue", "medium", "on", "medium"), ("red", "high", "on", "high")]
+    verdicts = [
+        '{"appearance": null, "appearance_confidence": "medium", "appearance_corrected": true, "state": null, "state_confidence": "odd", "state_corrected": true}',
+        '{"appearance": "blue", "appearance_confidence": "odd", "appearance_corrected": true, "state": "off", "state_confidence": "medium", "state_corrected": false}',
+        '{"appearance_confidence": null, "state_confidence": null}', "{}", "[1]", "no JSON",
+    ]
+    rows = spark.createDataFrame([(("red", "high", "on", "high"), v) for v in verdicts], f"o {kind}, v string")
+    got = rows.select(semantic.verified(F.col("o"), semantic.response(F.col("v"))).alias("r")).collect()
+    same = ("red", "high", "on", "high")
+    assert [tuple(x.r) for x in got] == [("red", "medium", None, "medium"), ("blue", "medium", "on", "medium"), same, ("red", "medium", "on", "medium"), same, same]
     objs = spark.createDataFrame([([("B",), ("x",), ("a",), ("b",)], ["a", "b"]), ([("z",), ("a",)], [])], "o array<struct<label:string>>, l array<string>")
     out = objs.select(semantic.in_scene_order(F.col("o"), F.col("l")).alias("r")).collect()
     assert [[o.label for o in x.r] for x in out] == [["a", "B", "b", "x"], ["z", "a"]]
