@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from tessera.llm import near_copies
 
@@ -57,6 +59,40 @@ def test_stage_equals_all_pairs(spark):
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == kept(rows)
 
 
+def test_large_groups_by_blocks_equal_all_pairs(spark, monkeypatch):
+    """Copies of texts that are not there themselves: many under a key, few of them similar."""
+    r = random.Random(9)
+    word = lambda: f"v{r.randrange(9000)}"
+    rows = []
+    for size in (70, 120):
+        base = [word() for _ in range(size)]
+        for _ in range(60):
+            t = list(base)
+            for _ in range(r.choice([1, 2, 2, 3])):
+                t[r.randrange(size)] = word()
+            rows.append(" ".join(t))
+    rows = list(enumerate(rows + [" ".join(word() for _ in range(90)) for _ in range(20)]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = kept(rows)
+    assert 30 < len(want) < len(rows)
+    for pairwise, block in ((64, 2048), (4, 16), (1, 7)):
+        monkeypatch.setattr(near_copies, "PAIRWISE", pairwise)
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        assert sorted(x.doc_id for x in near_copies.keep_representatives(docs).collect()) == want
+
+
+def test_the_bound_leaves_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 9, 40, 900, 20_000):
+        a = np.unique(rng.integers(-(2**62), 2**62, n))
+        for drop in (0, n // 20, n // 9):
+            b = np.unique(np.concatenate([a[drop:], rng.integers(-(2**62), 2**62, n // 10 if drop else 0)]))
+            both = len(np.intersect1d(a, b))
+            counts = [np.frombuffer(near_copies.histogram(x), np.uint8)[None] for x in (a, b)]
+            i, _ = near_copies.screened((np.array([len(a)]), np.array([1]), counts[0]), (np.array([len(b)]), np.array([2]), counts[1]))
+            assert len(i) == 1 or both * 9 < (len(a) + len(b)) * 4
+
+
 def test_empty(spark):
     assert near_copies.keep_representatives(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
