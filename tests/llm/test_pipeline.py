@@ -11,8 +11,9 @@ import corpus_pipeline
 from tessera.llm import decontaminate as dc
 from tessera.llm import quality_rules
 
+from .test_near_copies import jaccard
+from .test_near_copies import plain as shingles
 from .test_quality_rules import plain
-from .test_simhash import plain_fingerprint
 
 S = "/root/testdata/sf0.001"
 
@@ -33,7 +34,7 @@ def test_stages(spark):
 
     got = near(spark, got, S).cache()
     two = {r.doc_id for r in got.collect()}
-    fps = {d: plain_fingerprint(whole[d].text, 5) for d in one}
+    sets = {d: shingles(whole[d].text) for d in one}
     root = {d: d for d in one}
 
     def find(d):
@@ -43,7 +44,7 @@ def test_stages(spark):
 
     for a in one:
         for b in one:
-            if bin(fps[a] ^ fps[b]).count("1") <= 4:
+            if a < b and jaccard(sets[a], sets[b]) >= 0.8:
                 root[max(find(a), find(b))] = min(find(a), find(b))
     assert got.columns == docs.columns and two == {d for d in one if root[d] == d}
 

@@ -61,7 +61,7 @@ def test_op1_threshold_has_the_least_held_out_error(spark):
     least = min(error, key=lambda b: (round(error[b], 12), b)) * url_filter.BIN
     undecided = [r for r in got if not r.rule]
     assert undecided and all((r.verdict == "allow") == (r.score >= least) for r in undecided)
-    assert {r.verdict for r in undecided} == {"allow", "block"} and min(error.values()) < 0.2
+    assert {r.verdict for r in undecided} == {"allow", "block"} and min(error.values()) < 0.25  # both classes added up
 
 
 def test_op2_targets_and_limits(spark, docs):
