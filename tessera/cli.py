@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .config import load
 from .operators import scenes, stages, store
 from .plans import runs
-from .sources.annotations import annotation_array
+from .sources.annotations import annotation_array, annotation_lines
 
 
 def parser() -> argparse.ArgumentParser:
@@ -102,7 +102,8 @@ def run(spark: SparkSession, argv: list[str]) -> object:
         if hasattr(args, "verify"):
             cfg = cfg.but(verify=verify_of(args))
     if name == "download":
-        rows = annotation_array(spark, args.annotations or cfg.annotations_path)
+        path = args.annotations or cfg.annotations_path
+        rows = (annotation_lines if path.endswith(".jsonl") else annotation_array)(spark, path)
         return runs.download(cfg, rows, args.shard_id, args.num_shards, skip_staged=args.skip_staging).first().asDict()
     if name == "extract_scene_graphs":
         module, _, function = args.model.partition(":")

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -131,14 +132,15 @@ def message(e: Exception) -> str:
     return f"{type(e).__name__}: {e}"[:ERROR_CHARS]
 
 
-def answered(rows: DataFrame, prompts: dict[str, str], make: Callable[[], Backend], image: str | None = None, at_once: int = 8) -> DataFrame:
+def answered(rows: DataFrame, prompts: dict[str, str], make: Callable[[], Backend], image: str | None = None, at_once: int = 8, profile: ResourceProfile | None = None) -> DataFrame:
     """rows with an answer for each prompt: prompts names the columns of answers and, for each, that of its prompt.
 
     The calls of a batch, all prompts of all its rows, run at_once at a time.  A
     failing call gives a null answer and a message in `<answer>_error`, and fails
     nothing else; a null prompt is not asked.  image names a column of bytes;
     columns with the names made here are replaced.  The plan asks again where a
-    task is repeated, so results are written before they are read twice.
+    task is repeated, so results are written before they are read twice.  profile
+    asks for executors with accelerators.
     """
     names = [n for out in prompts for n in (out, f"{out}_error")]
     kept, schema = with_columns(rows, [n for n in names if n not in prompts.values()])
@@ -163,4 +165,4 @@ def answered(rows: DataFrame, prompts: dict[str, str], make: Callable[[], Backen
                 cols = [pa.array(c, pa.string()) for got in asked.values() for c in (list(zip(*list(got), strict=True)) or [[], []])]
                 yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema, profile=profile)

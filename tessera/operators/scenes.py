@@ -7,6 +7,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -53,7 +54,7 @@ class ComposedModel:
         return width, height, out
 
 
-def detected(rows: DataFrame, make: Callable[[], SceneModel], image: str = "image") -> DataFrame:
+def detected(rows: DataFrame, make: Callable[[], SceneModel], image: str = "image", profile: ResourceProfile | None = None) -> DataFrame:
     """rows with width, height, found and error; a row whose extraction fails has an error and fails nothing else."""
     names = ("width", "height", "found", "error")
     kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() not in names])
@@ -79,7 +80,7 @@ def detected(rows: DataFrame, make: Callable[[], SceneModel], image: str = "imag
             kinds = [pa.int32(), pa.int32(), item, pa.string()]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema, profile=profile)
 
 
 def scene_columns(rows: DataFrame, least: int = 2, keys: tuple[str, ...] = ("filename",)) -> DataFrame:

@@ -11,6 +11,7 @@ from ..config import Config
 from ..functions.keys import file_name, md5_shard
 from ..operators import annotators, scenes, semantics, stages, store
 from ..operators.backends import Backend, get_backend
+from ..operators.resources import gpu_profile
 from ..sources import images
 from ..sources.annotations import shard_of
 
@@ -70,7 +71,7 @@ def extract_scene_graphs(cfg: Config, spark: SparkSession, make: Callable[[], sc
     """Scene graphs of valid images that have none yet; returns the counts of errors."""
     rows = stages.valid_rows(_needed(spark, cfg.metadata_path, "metadata")).select("filename")
     todo = shard_rows(annotators.pending(rows, store.read_table(spark, cfg.scene_graph_path), limit=cfg.annotate_limit), shard, shards)
-    found = _kept(scenes.detected(images.with_images(todo, cfg.output_dir), make).drop("image"), "detections")
+    found = _kept(scenes.detected(images.with_images(todo, cfg.output_dir), make, profile=gpu_profile(cfg.num_gpus_per_worker)).drop("image"), "detections")
     made = scenes.scene_columns(found.where("error is null"), cfg.min_scene_objects)
     store.append(made.drop("filter_reason"), _out(spark, cfg.scene_graph_path, shard, shards))
     store.audit(made, cfg.filtered_scene_path)

@@ -11,6 +11,7 @@ from tessera import cli, config
 from tessera.functions import geometry as g
 from tessera.functions import prompts, semantic
 from tessera.operators import annotators, backends, scenes, semantics, stages, store
+from tessera.operators.resources import gpu_profile
 from tessera.plans import runs
 from tessera.sources import annotations, images
 
@@ -337,6 +338,12 @@ def test_crop_is_padded_by_the_image(spark):
     assert not spark.range(1).select(g.crop_kept(g.crop_box(box(-500, 0, -400, 9), w, h), w, h)).first()[0]
 
 
+def test_profile_asks_for_accelerators():
+    assert gpu_profile(0) is None
+    half = gpu_profile(0.5)
+    assert half.taskResources["gpu"].amount == 0.5 and half.executorResources["gpu"].amount == 1
+
+
 def test_settings(tmp_path, monkeypatch):
     toml = tmp_path / "c.toml"
     toml.write_text('timeout = 5\nverify = false\nvlm_model = "m"\nconcurrency = 3\n')
