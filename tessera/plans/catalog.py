@@ -365,12 +365,13 @@ def caption_fake(spark, sf):
 
 
 @query("depth_normalise", """
-SELECT vec_id, list_transform(embedding, lambda x: round(1 - coalesce(
-  (x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0), 9)) AS depths FROM embeddings
+SELECT vec_id, unnest(range(len(embedding))) AS place, unnest(list_transform(embedding, lambda x: round(1 - coalesce(
+  (x::DOUBLE - list_min(embedding)) / nullif(list_max(embedding)::DOUBLE - list_min(embedding), 0), 0), 9))) AS depth FROM embeddings
 """)
 def depth_normalise(spark, sf):
     depths = g.normalised_depths(F.col("embedding").cast("array<double>"))
-    return table(spark, sf, "embeddings").select("vec_id", F.transform(depths, lambda x: F.round(x, 9)).alias("depths"))
+    rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(depths).alias("place", "depth"))
+    return rows.select("vec_id", F.col("place").cast("long").alias("place"), F.round("depth", 9).alias("depth"))
 
 
 @query("semantic_parse", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS environment, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ':graspable,graspable:medium' END AS objects, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ' near None high' END AS relations, CASE WHEN doc_id % 5 = 0 THEN 'not JSON' END AS error FROM documents")
