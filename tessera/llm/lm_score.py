@@ -16,9 +16,9 @@ from .common import materialize
 #: Places of the neural vocabulary: the most frequent words, one each, then SUFFIXES classes of words, then the end.
 VOCAB, SUFFIXES = 2048, 512
 #: Most frequent tokens whose counts go to every task; counts of others are joined.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 18
 DIM, CONTEXT = 16, 2
-BATCH, NOISE, RATE = 2048, 96, 0.08
+BATCH, NOISE, RATE = 2048, 64, 0.08
 #: Training tokens of a trainer, about: trainers grow with the corpus, not with tasks.  Rounds of training and averaging.
 TRAIN_TOKENS, ROUNDS = 2_000_000, 2
 #: Types that a task counts before it hands them on; tokens of a training row.
