@@ -35,15 +35,12 @@ def formatted_turn(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), head, F.lit("\n"), escaped(F.coalesce(text, F.lit(""))), F.lit(CLOSE + "\n"))
 
 
-def ranked_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
-    """(tree, leaf, rank, node, place) of the nodes on the best `keep` root-to-leaf paths of each tree.
+def pointers(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(tree, node, up, total, depth) of every node after its pointer has gone up as far as it can, and the pointers of each round.
 
-    nodes: tree, node, parent, score.  Self-joins double the reach of every
-    node's pointer each round, summing scores on the way, so a path of n turns
-    takes log2(n) rounds; the kept pointers then enumerate the chosen paths the
-    same way.  Branches rank by mean score, then total, then node.  A parent
-    that isn't there makes its node a root; nodes on a circle have no root and
-    are left out.
+    Self-joins double the reach of every node's pointer each round, summing
+    scores on the way, so a path of n turns takes log2(n) rounds.  up is null
+    where a root was met; a node that still has one is on or below a circle.
     """
     there = nodes.select("tree", F.col("node").alias("parent")).withColumn("ok", F.lit(True))
     now = nodes.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("ok"), F.col("parent")).alias("up"), F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("depth"))
@@ -55,6 +52,23 @@ def ranked_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
         # nodes that have met their root stand still: only the others are joined
         more = open_.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("depth") + F.col("depth2")).alias("depth"))
         now = materialize(now.where("up is null").unionByName(more), "pointers")
+    return now, steps
+
+
+def circular_nodes(nodes: DataFrame) -> DataFrame:
+    """(tree, node) of the nodes without a root, on or below a circle of parents: what ranked_paths leaves out."""
+    return pointers(nodes)[0].where("up is not null").select("tree", "node")
+
+
+def ranked_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
+    """(tree, leaf, rank, node, place) of the nodes on the best `keep` root-to-leaf paths of each tree.
+
+    nodes: tree, node, parent, score.  The pointers that find the roots
+    enumerate the chosen paths in the same rounds.  Branches rank by mean score,
+    then total, then node.  A parent that isn't there makes its node a root;
+    nodes on or below a circle have no root and are left out (circular_nodes).
+    """
+    now, steps = pointers(nodes)
     rooted = now.where("up is null")
     leaves = rooted.join(nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy((F.col("total") / F.col("depth")).desc(), F.col("total").desc(), "node")

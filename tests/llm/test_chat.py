@@ -56,3 +56,9 @@ def test_trees(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_conversations(chat.format_conversations(df)).count() == 0
+
+
+def test_circular_nodes_are_reported(spark):
+    nodes = [("a", 1, None), ("a", 2, 1), ("a", 3, 4), ("a", 4, 5), ("a", 5, 3), ("a", 6, 5), ("b", 1, 1), ("c", 7, 99)]
+    found = chat.circular_nodes(spark.createDataFrame([(*n, 0.0) for n in nodes], "tree string, node long, parent long, score double"))
+    assert sorted((r.tree, r.node) for r in found.collect()) == [("a", 3), ("a", 4), ("a", 5), ("a", 6), ("b", 1)]
