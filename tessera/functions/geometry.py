@@ -191,7 +191,10 @@ def free_sides(box: Column, others: Column, width: Column, height: Column) -> Co
 
 def free_space(label: Column, sides: Column) -> Column:
     """The clear sides in words; a box is never its own neighbour, as its middle is not beside itself."""
-    return F.when(F.size(sides) > 0, F.concat(F.lit("Clear space "), F.array_join(sides, ", "), F.lit(" of the "), label, F.lit("."))).otherwise(F.concat(F.lit("Limited clear space immediately around the "), label, F.lit(".")))
+    # fixed values: both sentences
+    clear = F.concat(F.lit("Clear space "), F.array_join(sides, ", "), F.lit(" of the "), label, F.lit("."))
+    limited = F.concat(F.lit("Limited clear space immediately around the "), label, F.lit("."))
+    return F.when(F.size(sides) > 0, clear).otherwise(limited)
 
 
 def scene_text(dets: Column) -> Column:

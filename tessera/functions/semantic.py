@@ -18,7 +18,10 @@ PREDICATES = {
     "set_membership": ("set_with", "matches", "pairs_with", "grouped_with"),
     "functional_pairing": ("used_with", "placed_for", "positioned_beside", "covers"),
     "proximity_semantic": ("belongs_near", "stored_with"),
-    "activity_driven": ("being_cut_by", "being_poured_into", "being_stirred_by", "being_grasped_by", "being_lifted_by", "being_placed_on", "being_pushed_by", "being_folded", "being_wiped", "being_twisted", "being_opened", "being_closed", "being_flipped", "being_stacked_by"),
+    "activity_driven": (
+        "being_cut_by", "being_poured_into", "being_stirred_by", "being_grasped_by", "being_lifted_by", "being_placed_on", "being_pushed_by",
+        "being_folded", "being_wiped", "being_twisted", "being_opened", "being_closed", "being_flipped", "being_stacked_by",
+    ),
     "occlusion": ("occluded_by", "partially_behind", "blocks_view_of"),
     "connectivity": ("connected_to",),
 }
@@ -59,7 +62,10 @@ def _vocabulary(v: Column, path: str, words: tuple[str, ...], default: str | Non
 
 def scene_context(v: Column) -> Column:
     s = F.variant_get(v, "$.scene_context", "variant")
-    return F.struct(json_text(s, "$.environment", "unknown").alias("environment"), _or_null(s, "$.apparent_activity").alias("apparent_activity"), _vocabulary(s, "$.temporal_phase", PHASES, None).alias("temporal_phase"), _vocabulary(s, "$.confidence", CONFIDENCES, "medium").alias("confidence"))
+    return F.struct(
+        json_text(s, "$.environment", "unknown").alias("environment"), _or_null(s, "$.apparent_activity").alias("apparent_activity"),
+        _vocabulary(s, "$.temporal_phase", PHASES, None).alias("temporal_phase"), _vocabulary(s, "$.confidence", CONFIDENCES, "medium").alias("confidence"),
+    )
 
 
 def objects(v: Column, affordances: tuple[str, ...] = AFFORDANCES) -> Column:
@@ -84,7 +90,9 @@ def relationships(v: Column, labels: Column) -> Column:
 
     def one(r: Column) -> Column:
         text = {k: strip(json_text(r, f"$.{k}", "")) for k in ("subject", "predicate", "object", "type", "evidence")}
-        return F.struct(F.lower(text["subject"]).alias("subject"), *[text[k].alias(k) for k in ("predicate", "object", "type")], _vocabulary(r, "$.confidence", CONFIDENCES, "medium").alias("confidence"), text["evidence"].alias("evidence"))
+        sure = _vocabulary(r, "$.confidence", CONFIDENCES, "medium").alias("confidence")
+        names = [text[k].alias(k) for k in ("predicate", "object", "type")]
+        return F.struct(F.lower(text["subject"]).alias("subject"), *names, sure, text["evidence"].alias("evidence"))
 
     kept = lambda r: (r["subject"] != "") & (r["object"] != "") & r["predicate"].isin(*ALL_PREDICATES) & subject_known(r["subject"], labels)
     return F.filter(F.transform(found, one), kept)

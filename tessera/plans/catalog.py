@@ -84,7 +84,9 @@ def resume_anti(spark, sf):
     return stages.not_done(table(spark, sf, "documents").select("doc_id", "n_chars"), table(spark, sf, "labels"), "doc_id")
 
 
-@query("limit_then_resume", "SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100) d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+@query("limit_then_resume", """
+SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100) d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
 def limit_then_resume(spark, sf):
     return stages.not_done(stages.first_rows(table(spark, sf, "documents").select("doc_id"), "doc_id", 100), table(spark, sf, "labels"), "doc_id")
 
@@ -125,17 +127,27 @@ def merge_staged(spark, sf):
     return stages.merged(old, [new], "doc_id").select("doc_id", "quality", "n_chars")
 
 
-@query("replace_by_key", "SELECT doc_id, lang, NULL::INTEGER AS quality FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) UNION ALL SELECT doc_id, NULL, quality FROM labels")
+@query("replace_by_key", """
+SELECT doc_id, lang, NULL::INTEGER AS quality FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+UNION ALL SELECT doc_id, NULL, quality FROM labels
+""")
 def replace_by_key(spark, sf):
     return stages.replaced(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
 
 
-@query("valid_counts", "SELECT count(*) AS total, count_if(coalesce(quality = 1, false)) AS valid, count_if(quality IS NULL) AS unknown FROM documents LEFT JOIN labels USING (doc_id)")
+@query("valid_counts", """
+SELECT count(*) AS total, count_if(coalesce(quality = 1, false)) AS valid, count_if(quality IS NULL) AS unknown FROM documents LEFT
+JOIN labels USING (doc_id)
+""")
 def valid_counts(spark, sf):
     return stages.valid_counts(table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select((F.col("quality") == 1).alias("valid")))
 
 
-@query("validity_reason", "SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN 'missing_file' WHEN n_chars < 512 THEN 'file_too_small' WHEN doc_id % 33 = 0 THEN 'load_error' WHEN n_chars % 97 = 0 THEN 'zero_dimension' WHEN (n_chars % 97) * 60 < 4096 THEN 'too_small' END AS filter_reason FROM documents")
+@query("validity_reason", """
+SELECT doc_id,
+CASE WHEN doc_id % 50 = 0 THEN 'missing_file' WHEN n_chars < 512 THEN 'file_too_small' WHEN doc_id % 33 = 0 THEN 'load_error' WHEN n_chars % 97 = 0 THEN 'zero_dimension' WHEN (n_chars % 97) * 60 < 4096 THEN 'too_small' END AS filter_reason
+FROM documents
+""")
 def validity_reason(spark, sf):
     width = F.col("n_chars") % 97
     error = F.when(F.col("doc_id") % 33 == 0, "cannot read")
@@ -316,7 +328,9 @@ def verdict_filter(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", responses.rejected(answer).alias("rejected"))
 
 
-@query("strip_fences", "SELECT doc_id, md5(trim(text, chr(10) || chr(11) || chr(12) || chr(13) || chr(9) || ' ')) AS inner_md5 FROM documents WHERE NOT contains(text, '```')")
+@query("strip_fences", """
+SELECT doc_id, md5(trim(text, chr(10) || chr(11) || chr(12) || chr(13) || chr(9) || ' ')) AS inner_md5 FROM documents WHERE NOT contains(text, '```')
+""")
 def strip_fences(spark, sf):
     """Whole texts, half of them in a fence after other words and before another fence."""
     text = F.col("text")
@@ -336,13 +350,19 @@ def known_labels(spark, sf):
     return d.suppressed_lists(_shouted(d.boxes(spark, sf))).select("image", F.array_join(responses.known_labels(text), ",").alias("labels"))
 
 
-@query("vocab_filter", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type || ',' || event_type ELSE '' END AS kept, CASE WHEN event_type IN ('high', 'medium') THEN event_type ELSE 'medium' END AS confidence FROM events")
+@query("vocab_filter", """
+SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type || ',' || event_type ELSE '' END AS kept,
+CASE WHEN event_type IN ('high', 'medium') THEN event_type ELSE 'medium' END AS confidence FROM events
+""")
 def vocab_filter(spark, sf):
     values = F.array("event_type", F.lit("unknown"), "event_type")
     return table(spark, sf, "events").select("event_id", F.array_join(responses.allowed(values, ("click", "view")), ",").alias("kept"), responses.confidence(F.col("event_type")).alias("confidence"))
 
 
-@query("backfill", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR n_chars = 0 THEN -1 ELSE n_chars END AS width, CASE WHEN doc_id % 4 = 0 THEN 'RGB' ELSE lang END AS mode, true AS valid FROM documents")
+@query("backfill", """
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR n_chars = 0 THEN -1 ELSE n_chars END AS width,
+CASE WHEN doc_id % 4 = 0 THEN 'RGB' ELSE lang END AS mode, true AS valid FROM documents
+""")
 def backfill(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("n_chars")).alias("width"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("mode"))
     return stages.backfilled(rows, width=F.lit(-1).cast("long"), mode=F.lit("RGB"), valid=F.lit(True))
@@ -374,7 +394,12 @@ def depth_normalise(spark, sf):
     return rows.select("vec_id", F.col("place").cast("long").alias("place"), F.round("depth", 9).alias("depth"))
 
 
-@query("semantic_parse", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS environment, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ':graspable,graspable:medium' END AS objects, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ' near None high' END AS relations, CASE WHEN doc_id % 5 = 0 THEN 'not JSON' END AS error FROM documents")
+@query("semantic_parse", """
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS environment,
+CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ':graspable,graspable:medium' END AS objects,
+CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source || ' near None high' END AS relations, CASE WHEN doc_id % 5 = 0 THEN 'not JSON' END AS error
+FROM documents
+""")
 def semantic_parse(spark, sf):
     raw = F.when(F.col("doc_id") % 5 == 0, "```json\n{broken```").otherwise(F.concat(
         F.lit('```json\n{"scene_context": {"environment": "'), "lang", F.lit('"}, "objects": [{"label": " '), "source", F.lit('", "affordances": ["graspable", "edible", "graspable"], "state_confidence": "low"}, {"label": ""}], "relationships": [{"subject": "'),

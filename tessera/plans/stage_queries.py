@@ -91,7 +91,9 @@ _OLD = "lang || ' ' || source"
 def _captions_sql(captions: dict[str, str], verify: str, strict: bool, strip: bool = False) -> str:
     """Captions by the stand-in's rules: digest of image and prompt, then of image and the verifier's prompt."""
     first = ", ".join(f"md5(lang || {p}) AS d_{n}" for n, p in captions.items())
-    said = lambda n: f"CASE WHEN substr(d_{n}, 2, 1) IN ('0', '1') THEN NULL WHEN substr(d_{n}, 3, 1) = '0' THEN {'NULL' if strip else sql_text(' ') + ' || chr(10)'} ELSE {f'd_{n}' if strip else f''' ' ' || d_{n} || chr(10)'''} END"
+    empty = "NULL" if strip else "' ' || chr(10)"
+    full = lambda n: f"d_{n}" if strip else f"' ' || d_{n} || chr(10)"
+    said = lambda n: f"CASE WHEN substr(d_{n}, 2, 1) IN ('0', '1') THEN NULL WHEN substr(d_{n}, 3, 1) = '0' THEN {empty} ELSE {full(n)} END"
     second = ", ".join(f"{said(n)} AS c_{n}" for n in captions)
     third = ", ".join(f"md5(lang || {sql_prompt(verify, caption=f'c_{n}')}) AS v_{n}" for n in captions)
     wrong = lambda n: f"substr(v_{n}, 2, 1) NOT IN ('0', '1') AND substr(v_{n}, 1, 1) IN ('0', '1', '2', '3', '4')"
@@ -126,7 +128,7 @@ def annotate_relabel(spark, sf):
     return _captioned(spark, sf, "relabel")
 
 
-@query("annotate_two_call", _captions_sql({"spatial_caption": sql_prompt(prompts.TWO_CALL_GENERATE, original_caption=_OLD)}, prompts.VERIFY, strict=True).replace("FROM checked", "FROM checked"))
+@query("annotate_two_call", _captions_sql({"spatial_caption": sql_prompt(prompts.TWO_CALL_GENERATE, original_caption=_OLD)}, prompts.VERIFY, strict=True))
 def annotate_two_call(spark, sf):
     return _captioned(spark, sf, "two-call")
 
@@ -165,7 +167,10 @@ _PRETTY = f"""'{{
 }}'"""
 
 
-@query("annotate_semantic", _captions_sql({"semantic_caption": f"CASE WHEN doc_id % 9 <> 0 THEN {sql_prompt(prompts.SEMANTIC_CAPTION, scene_graph=_GRAPH, semantic_annotation=_PRETTY)} END"}, prompts.SEMANTIC_VERIFY, strict=False, strip=True))
+_SEMANTIC = f"CASE WHEN doc_id % 9 <> 0 THEN {sql_prompt(prompts.SEMANTIC_CAPTION, scene_graph=_GRAPH, semantic_annotation=_PRETTY)} END"
+
+
+@query("annotate_semantic", _captions_sql({"semantic_caption": _SEMANTIC}, prompts.SEMANTIC_VERIFY, strict=False, strip=True))
 def annotate_semantic(spark, sf):
     """Objects in the order of the scene's lines; every ninth annotation is no JSON."""
     return _captioned(spark, sf, "semantic")
