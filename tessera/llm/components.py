@@ -44,16 +44,36 @@ def connected_components(links: DataFrame) -> DataFrame:
         edges = after
 
 
+#: Rows of hashes and ids up to this number are sent to the tasks, so that no text moves; more are joined by a shuffle.
+SENT = 1_000_000
+
+
+def sent_if_few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= SENT else rows
+
+
 def one_row_each(docs: DataFrame, marked: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row of docs for each component of marked (id, text_hash, fp): the smallest id, null last, then the least text hash.
 
     Equal texts are in one component, so id and text hash name a row up to its
-    exact copies; the id alone does not, as it may be null or repeated.
+    exact copies; the id alone does not, as it may be null or repeated.  Where
+    few rows go, they are sent to the tasks; else rows meet by a shuffle.
     """
-    least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("least")
-    firsts = marked.groupBy("fp").agg(least)
-    named = firsts.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    kept = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias("__id"), F.col("least.text_hash").alias("__hash"))
+    found = marked.groupBy("id", "text_hash", "fp").agg(F.count("*").alias("n"))
+    named = found.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = materialize(named, "named")
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("least"))
+    stays = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    judged = named.join(least, "root").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), "n", stays.alias("__stays"))
+    odd = materialize(judged.where("not __stays or n > 1"), "odd")  # what goes, and what stays but is repeated
     rows = docs.withColumn("__text", F.xxhash64(text_col))
-    same = rows[id_col].eqNullSafe(kept["__id"]) & (rows["__text"] == kept["__hash"])
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "__text"]).drop("__text")
+    same = lambda right: rows[id_col].eqNullSafe(right["__id"]) & (rows["__text"] == right["__hash"])
+    if odd.count() <= SENT:
+        out = rows.join(F.broadcast(odd), same(odd), "left_anti")
+        again = odd.where("__stays")
+        if not again.isEmpty():
+            out = out.unionByName(rows.join(F.broadcast(again), same(again), "left_semi").dropDuplicates([id_col, "__text"]))
+    else:
+        kept = judged.where("__stays")
+        out = rows.join(kept, same(kept), "left_semi").dropDuplicates([id_col, "__text"])
+    return out.drop("__text")

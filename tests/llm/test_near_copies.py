@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
-from tessera.llm import near_copies
+from tessera.llm import components, near_copies
 
 
 def plain(text):
@@ -52,7 +53,9 @@ def kept(rows):
     return [rows[i][0] for i in range(len(rows)) if find(i) == i]
 
 
-def test_stage_equals_all_pairs(spark):
+@pytest.mark.parametrize("sent", [components.SENT, 0])
+def test_stage_equals_all_pairs(spark, monkeypatch, sent):
+    monkeypatch.setattr(components, "SENT", sent)
     rows = sample()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
@@ -97,7 +100,9 @@ def test_empty(spark):
     assert near_copies.keep_representatives(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_rows_without_own_id_stay_apart(spark):
+@pytest.mark.parametrize("sent", [components.SENT, 0])
+def test_rows_without_own_id_stay_apart(spark, monkeypatch, sent):
+    monkeypatch.setattr(components, "SENT", sent)
     texts = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(6)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (1, texts[2]), (1, texts[3]), (2, texts[3]), (2, texts[4]), (3, texts[5]), (3, texts[5])]
     docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row long")
