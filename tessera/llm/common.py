@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,6 +95,13 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most so many rows, so that what a worker makes of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 #: Rows whose running sum one task works out at a time.
 RUN = 4096
 
