@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 #: Places of the neural vocabulary: the most frequent words, one each, then SUFFIXES classes of words, then the end.
 VOCAB, SUFFIXES = 2048, 512
@@ -292,8 +292,8 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT, train_to
     scorer = TextScorer(top, total, types, [sizes.get(c, (0, 0)) for c in range(SUFFIXES)], vocab)
     trainers = max(1, round(total / train_tokens))
     if total:
-        rows = materialize(encoded(texts, spark.sparkContext.broadcast(scorer), trainers), "training-ids")
-        rows = rows.repartitionByRange(trainers, "trainer") if trainers > 1 else rows.coalesce(1)
+        ids = materialize(encoded(texts, spark.sparkContext.broadcast(scorer), trainers), "training-ids")
+        rows = ids.repartitionByRange(trainers, "trainer") if trainers > 1 else ids.coalesce(1)
         rows = rows.sortWithinPartitions("trainer", "h", "piece", "ids")
     for k in range(rounds if total else 0):
         start, end = spark.sparkContext.broadcast(scorer.model), scorer.end
@@ -323,6 +323,8 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT, train_to
                 yield done()
 
         scorer.model.average(summed(rows.mapInArrow(train, "trainer int, p binary"), trainers))
+    if total:
+        discard(ids)
     scorer.norms = scorer.model.log_norms()
     return scorer, counts
 
