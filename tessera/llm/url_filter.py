@@ -13,9 +13,9 @@ from .common import lower_ascii, materialize
 
 #: (verdict, rule): the rule's host, then its path.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("allow", "example.net/de/8"), ("block", "org/es/"))
-#: 32 symbols: letters, one for digits, marks, one for anything else, one for both ends.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0.-/_^"
-#: A symbol is judged after up to ORDER symbols: 32**(ORDER+1) table entries, at any input size.
+#: 41 symbols: letters, digits, marks, one for anything else, one for both ends.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789.-/_^"
+#: A symbol is judged after up to ORDER symbols: 41**(ORDER+1) table entries, at any input size.
 ORDER = 3
 #: Weight of the next shorter context.
 BACKOFF = 4.0
@@ -46,7 +46,7 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
 
 def symbols(host: Column, path: Column) -> Column:
     """The array of symbol numbers of an url, with end marks."""
-    s = F.regexp_replace(F.regexp_replace(F.lower(F.concat(host, path)), "[0-9]", "0"), "[^a-z0./-]", "_")
+    s = F.regexp_replace(F.lower(F.concat(host, path)), "[^a-z0-9./-]", "_")
     return F.transform(F.split(F.concat(s, F.lit("^")), "(?!$)"), lambda c: F.instr(F.lit(ALPHABET), c).cast("long") - 1)
 
 
