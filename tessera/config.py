@@ -13,6 +13,8 @@ PREFIX = "TESSERA_"
 
 @dataclass(frozen=True)
 class Config:
+    """The settings' names and defaults."""
+
     annotations_path: str = "data/annotations.json"
     output_dir: str = "data/raw"
     timeout: int = 10
