@@ -24,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, prefix_sums, shared_folder
+from .common import prefix_sums, shared_folder
 from .perfect_hash import PerfectHash, stamps
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,7 +32,7 @@ END_ID = 2
 #: Characters of text that make a shard, about; it only sets the number of files.
 SHARD_CHARS = 16_000_000
 #: Distinct chunks whose ids a worker remembers; others are encoded again.
-CACHE_MAX = 300_000
+CACHE_MAX = 500_000
 MAGIC = b"TSRIDX02"
 
 
@@ -114,7 +114,7 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def groups_by_size(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
+def groups_by_size(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """Runs of texts of about `most` characters; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
@@ -245,13 +245,12 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
         encoder, keys, sizes = Encoder.get(tokenizer), [], []
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         with fs.open_output_stream(f"{base}.{mark}.bin") as out:
-            for b in pieces(batches):
+            for b in batches:
                 keys += b.column(0).to_pylist()
                 for some in groups_by_size(b.column(1).to_pylist()):
                     for ids in encoder.encode(some):
                         out.write(ids + end)
                         sizes.append(len(ids) // encoder.kind.itemsize + 1)
-        pa.default_memory_pool().release_unused()
         ends = np.cumsum(np.array(sizes, dtype=np.int64))
         if not keys:
             fs.delete_file(f"{base}.{mark}.bin")
