@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, hash_sample, materialize, words
+from .common import BLANKS, discard, materialize, words
 
 MIN_WORDS = 50
 #: Rejected when repeated windows cover more than this percentage of the words.
@@ -22,9 +22,11 @@ BUCKETS = 1 << 14
 SMOOTH = 0.5
 #: Repeated hashes up to this number are looked up one by one; beyond it the text's windows are sorted.
 FEW = 64
-#: Rejected below a ratio, in nats for each n-gram, that lies MARGIN under all but a thousandth (LOW) of the trusted
-#: documents; at most so many of them, chosen by hash, calibrate it.
-MARGIN, LOW, CALIBRATE_MAX = 0.3, 0.001, 5_000
+#: Rejected below a ratio, in nats for each n-gram, that lies MARGIN under all but a thousandth (LOW) of all trusted
+#: documents.
+MARGIN, LOW = 0.3, 0.001
+#: A value is looked for in bins of 1 / BINS, then in bins 1,024 times as fine, until so few values are left.
+BINS, LEFT = 64, 4_096
 #: Trusted ids up to this number (8 bytes each) are sent to the tasks; more meet the documents in a shuffled join.
 TRUSTED_SENT = 1_000_000
 
@@ -133,18 +135,43 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
     return filled.select("bucket", (rate("good", total_g) - rate("all", total_a)).alias("ratio"))
 
 
-def calibrated_ratio(docs: DataFrame, trusted: DataFrame, table: Column, id_col: str, text_col: str, most: int = CALIBRATE_MAX) -> float:
+def value_at(values: DataFrame, rank: int) -> float:
+    """The value of that rank, 0 the least, of one column of finite numbers, exactly.
+
+    Only counts of bins and at most LEFT values leave the tasks, at any size; equal values are one bin of their own.
+    """
+    x, inside, fine = F.col(values.columns[0]), values, BINS
+    while True:
+        key = F.floor(x * F.lit(float(fine)))
+        bins = inside.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
+        for r in bins.orderBy("key").collect():
+            if rank < r.n:
+                break
+            rank -= r.n
+        if r.low == r.high:
+            return r.low
+        inside = inside.where(key == r.key)
+        if r.n <= LEFT:
+            return sorted(v for (v,) in inside.collect())[rank]
+        fine *= 1024
+
+
+def calibrated_ratio(docs: DataFrame, trusted: DataFrame, table: Column, id_col: str, text_col: str) -> float:
     """The least ratio that passes: MARGIN below the ratio that all but LOW of the trusted documents reach.
 
-    Read from at most `most` trusted documents with enough words; without any, no ratio fails.
+    Read from all trusted documents with enough words, linear between two of them; without any, no ratio fails.
     """
-    ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    some = docs.sparkSession.createDataFrame(hash_sample(ids, most, id_col).collect(), ids.schema)
-    rows = with_ratio(docs.select(id_col, text_col).join(F.broadcast(some), id_col, "left_semi"), table, text_col)
+    rows = with_ratio(trusted_rows(docs.select(id_col, text_col), trusted, id_col), table, text_col)
     # not a filter: pushed below the join, it would split every text
     long_enough = F.when(F.size(words(F.col(text_col))) >= MIN_WORDS, F.col("ratio"))
-    low = rows.agg(F.percentile(long_enough, F.lit(LOW))).first()[0]
-    return -math.inf if low is None else low - MARGIN
+    found = materialize(rows.select(long_enough.alias("ratio")), "trusted-ratios")
+    values = found.where("ratio is not null")
+    at = LOW * (values.count() - 1)
+    if at < 0:
+        return -math.inf
+    low, high = (value_at(values, k) for k in (math.floor(at), math.ceil(at)))
+    discard(found)
+    return low + (high - low) * (at - math.floor(at)) - MARGIN
 
 
 def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_ratio: float | None = None, max_repeat: int = MAX_REPEAT) -> DataFrame:

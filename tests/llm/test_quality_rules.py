@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tessera.llm import quality_rules
 
@@ -83,6 +84,29 @@ def test_threshold_lies_under_the_trusted(spark):
     assert all(r.kept != r.base_failed for r in quality_rules.judged(docs, docs.limit(0).select("doc_id")).collect())
 
 
+def test_all_trusted_documents_set_the_threshold(spark):
+    """More of them than any sample took, the lowest ratios spread thinly."""
+    rnd = random.Random(6)
+    rows = [(i, " ".join(rnd.choice(["g", "b"] if i % 50 == 0 else ["g"]) + str(rnd.randint(0, 40)) for _ in range(50 + i % 9))) for i in range(9000)] + [(None, "g1 " * 60), (9001, "g1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = docs.where("doc_id % 10 <> 9").select("doc_id")
+    table = quality_rules.ratio_table(docs, trusted)
+    values = table.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "ratio"))), lambda x: x["ratio"])).scalar()
+    ratios = [r.ratio for r in quality_rules.with_ratio(docs, values, "text").collect() if r.doc_id is not None and r.doc_id % 10 != 9 and r.doc_id < 9000]
+    want = np.percentile(ratios, 100 * quality_rules.LOW) - quality_rules.MARGIN
+    assert len(ratios) > 8000 and quality_rules.calibrated_ratio(docs, trusted, values, "doc_id", "text") == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("left", [1, 4096])
+def test_value_at_equals_sorted(spark, monkeypatch, left):
+    monkeypatch.setattr(quality_rules, "LEFT", left)
+    rnd = random.Random(8)
+    values = [0.0] * 9 + [-0.25] * 5 + [1e-9, 2e-9, -1e-300, 3.0, math.nextafter(3.0, 4)] + [rnd.gauss(0, 2) for _ in range(60)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for rank in (0, 1, 20, 33, 40, 44, 46, 77, 78):
+        assert quality_rules.value_at(rows, rank) == sorted(values)[rank]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert quality_rules.judged(docs, docs.select("doc_id")).count() == 0
