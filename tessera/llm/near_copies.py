@@ -1,6 +1,8 @@
-"""Near copies: an exact join of five-word-shingle sets with Jaccard similarity 0.8 or more, and its components.
+"""Near copies: SimHash links and an exact join of five-word-shingle sets with Jaccard similarity 0.8 or more, and their components.
 
-Two sets that similar share a shingle among the first fifth of each, in any one
+Fingerprints of all texts meet in pigeonhole blocks; what they link is held
+against the sets and united.  At 0.8 more bits differ than blocks allow for, so
+an exact join of the sets follows for all that fingerprints leave apart.  Two sets that similar share a shingle among the first fifth of each, in any one
 order of all shingles, and more among more; with the rare ones first, few others
 meet there, and fewer often enough.
 """
@@ -15,14 +17,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import discard, materialize, pieces
 from .components import connected_components, one_row_each, sent_if_few
-from .simhash import SEED
+from .simhash import SEED, majority, signed, votes_of
 
 #: Words of a shingle.
 WIDTH = 5
 #: A pair is similar if PART[0] / PART[1] of the shingles of either stand in both.
 PART = (4, 5)
+#: Differing bits up to which fingerprints link.
+BITS = 4
+#: Hashes whose bits are counted at a time.
+VOTES = 1 << 16
 #: Texts, chosen by hash, in which shingles are counted, about: the counts only order the shingles, so they set the work
 #: and not the result.  Counters: one byte each, at any input size; sent on in PARTS rows.
 SAMPLE_TEXTS, COUNTERS, PARTS = 20_000, 1 << 22, 16
@@ -32,11 +39,11 @@ PAIRWISE, BLOCK = 64, 2048
 BUCKETS = 256
 
 
-def shingle_set(text: bytes | None) -> np.ndarray:
-    """The distinct 64-bit hashes of the word shingles, ascending; a shorter text is one shingle, a blank one has none."""
+def shingles(text: bytes | None) -> np.ndarray:
+    """The 64-bit hashes of the word shingles, repeats included; a shorter text is one shingle, a blank one has none."""
     found = (text or b"").lower().split()
     if not found:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint64)
     joined, n = b" ".join(found), len(found) - WIDTH + 1
     digest = xxhash.xxh64_intdigest
     if n < 1:
@@ -45,7 +52,22 @@ def shingle_set(text: bytes | None) -> np.ndarray:
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         stop = np.cumsum(size + 1) - 1
         h = [digest(joined[a:b], SEED) for a, b in zip((stop - size)[:n].tolist(), stop[WIDTH - 1 :].tolist(), strict=True)]
-    return np.unique(np.array(h, dtype=np.uint64).view(np.int64))
+    return np.array(h, dtype=np.uint64)
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    return np.unique(h.view(np.int64))
+
+
+def shingle_set(text: bytes | None) -> np.ndarray:
+    """The distinct hashes of the word shingles, ascending."""
+    return distinct(shingles(text))
+
+
+def mark_of(h: np.ndarray) -> int:
+    """The SimHash fingerprint of a text's shingles, as a signed long; 0 for none."""
+    votes = sum((votes_of(h[at : at + VOTES]) for at in range(0, len(h), VOTES)), np.zeros(64, dtype=np.int64))
+    return signed(majority(votes, len(h)))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -109,19 +131,47 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
 
 
 def with_prefixes(docs: DataFrame, counted: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, fp, size, keys) of every row: fp stands for its set, keys are the set's prefix."""
+    """(id, text_hash, fp, mark, size, keys) of every row: fp stands for its set, mark is its SimHash fingerprint, keys are the set's prefix."""
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(counted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = shared.value
         for b in pieces(batches):
-            sets = [shingle_set(t) for t in b.column(2).cast(pa.binary()).to_pylist()]
-            keys = [prefix(s, n) if len(s) else s for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "text_hash", "fp", "size", "keys"])
+            rows = []
+            for t in b.column(2).cast(pa.binary()).to_pylist():
+                h = shingles(t)
+                s = distinct(h)
+                rows.append((set_id(s), mark_of(h), len(s), prefix(s, n) if len(s) else s))
+            made = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["id", "text_hash", "fp", "mark", "size", "keys"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, f"id {kind}, text_hash long, fp long, size long, keys array<bigint>")
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, fp long, mark long, size long, keys array<bigint>")
+
+
+def alike(marks: DataFrame) -> DataFrame:
+    """(a, b) of sets with linked fingerprints, from (mark, fp): enough pairs to connect all within BITS bits.
+
+    Each set is paired with the first of its fingerprint, and these along the
+    fingerprints' links, so a fingerprint of many sets makes no pairs of all.
+    """
+    heads = materialize(marks.groupBy("mark").agg(F.min("fp").alias("head")), "heads")
+    links = simhash.fingerprint_links(heads.select(F.col("mark").alias("fp")), BITS)
+    side = lambda x: heads.select(F.col("mark").alias(x), F.col("head").alias(f"head_{x}"))
+    across = links.join(side("a"), "a").join(side("b"), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    pairs = marks.join(heads, "mark").select(F.col("fp").alias("a"), F.col("head").alias("b")).unionByName(across)
+    found = materialize(pairs.where("a <> b").distinct(), "alike")
+    discard(heads)
+    return found
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that roots (node, root) do not unite."""
+    known = sent_if_few(roots)
+    side = lambda x: known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    named = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return named.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
 def histogram(s: np.ndarray) -> bytes:
@@ -213,13 +263,16 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
 def set_roots(prefixes: DataFrame, marked: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the sets that are linked to others; prefixes are read first and freed, texts are (text_hash, t).
 
-    Only sets that share enough keys with others go on: one of which a passage
-    stands elsewhere shares too few.  First the sets under a key are compared
-    with one of them, the one that shares most keys, and what is similar is
+    First the fingerprints of all sets are linked.  A similar set shares enough
+    keys with others; one of which a passage stands elsewhere shares too few
+    and is like none.  Of the others, what fingerprints link and the sets
+    confirm is united.  Then the sets under a key are compared with one of
+    them, the one that shares most keys, unless united, and what is similar is
     united.  Then the sets under a key that are still apart are compared: few
     ones as pairs, many ones by a bound of their distance, so that only pairs
     that may be similar leave a task.  No similar pair is left apart.
     """
+    linked = alike(prefixes.select("mark", "fp").distinct())
     keyed = prefixes.select("fp", "size", "keys").dropDuplicates(["fp"]).select(F.explode("keys").alias("key"), "fp", "size")
     met = materialize(shared_keys(keyed).drop("n"), "met")
     discard(prefixes)
@@ -231,9 +284,12 @@ def set_roots(prefixes: DataFrame, marked: DataFrame, texts: DataFrame) -> DataF
     one = marked.join(met.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("text_hash").alias("text_hash"))
     one = sent_if_few(materialize(one.select("text_hash"), "set-texts"))
     sets = materialize(sets_of(texts.join(one, "text_hash", "left_semi").dropDuplicates(["text_hash"]).select("t")), "sets")
+    links = materialize(verified(linked, sets), "links")
+    discard(linked)
     heads = met.groupBy("key").agg(F.max_by(F.struct("fp", "size"), F.struct("shared", F.xxhash64("fp"))).alias("h"))
     pairs = met.join(heads, "key").where((F.col("fp") != F.col("h.fp")) & close(F.col("size"), F.col("h.size"))).select(F.col("fp").alias("a"), F.col("h.fp").alias("b"))
-    links = materialize(verified(pairs.distinct(), sets), "links")
+    pairs = still_apart(pairs.distinct(), connected_components(links))
+    links = links.unionByName(materialize(verified(pairs, sets), "links"))
     now = met.join(connected_components(links).withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     apart = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     members = materialize(now.join(apart, "key"), "members")

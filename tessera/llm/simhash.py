@@ -25,6 +25,16 @@ GROUP_MAX = 1 << 16
 FINE_BLOCKS = 16
 
 
+def votes_of(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes set each of the 64 bits."""
+    return np.unpackbits(h.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(votes: np.ndarray, n: int) -> int:
+    """The bits that over half of n hashes set."""
+    return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: bytes | None, width: int = 4) -> int:
     """64-bit SimHash of the word shingles, repeats included; 0 for a text without words."""
     found = (text or b"").lower().split()
@@ -43,8 +53,8 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, 1 << 16):
         h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + (1 << 16)], ends[at : at + (1 << 16)], strict=True)], dtype="<u8")
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
+        votes += votes_of(h)
+    return majority(votes, n)
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:

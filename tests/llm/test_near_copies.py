@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tessera.llm import components, near_copies
+from tessera.llm import components, near_copies, simhash
 
 
 def plain(text):
@@ -62,6 +62,40 @@ def test_stage_equals_all_pairs(spark, monkeypatch, sent):
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == kept(rows)
 
 
+def test_fingerprints_of_all_texts_link_first(spark, monkeypatch):
+    """The stage links the SimHash fingerprints of five-word shingles, repeats included; the sets confirm what is united."""
+    rows = [*sample(), (900, "again and again " * 30)]
+    met, real = [], simhash.fingerprint_links
+    monkeypatch.setattr(simhash, "fingerprint_links", lambda fps, *a: met.append(sorted(r.fp for r in fps.collect())) or real(fps, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert sorted(r.doc_id for r in got.collect()) == kept(rows)
+    assert met == [sorted({simhash.signed(simhash.fingerprint((t or "").encode(), 5)) for _, t in rows})]
+
+
+def test_alike_connects_all_within_the_bits(spark):
+    r = random.Random(3)
+    bases = [r.getrandbits(64) for _ in range(12)]
+    flip = lambda x, k: x ^ sum(1 << b for b in r.sample(range(64), k))
+    marks = [(simhash.signed(flip(r.choice(bases), r.choice([0, 0, 1, 2, 3, 5]))), i) for i in range(200)]
+
+    def parts(linked):
+        root = list(range(200))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in linked:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(200)]
+
+    pairs = [(i, j) for i in range(200) for j in range(i) if ((marks[i][0] ^ marks[j][0]) & (2**64 - 1)).bit_count() <= near_copies.BITS]
+    got = near_copies.alike(spark.createDataFrame(marks, "mark long, fp long")).collect()
+    assert parts((x.a, x.b) for x in got) == parts(pairs) and len(got) < len(pairs)
+
+
 def test_large_groups_by_blocks_equal_all_pairs(spark, monkeypatch):
     """Copies of texts that are not there themselves: many under a key, few of them similar."""
     r = random.Random(9)
