@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -138,22 +139,29 @@ class LogBilinear:
             order = np.argsort(at.astype(np.uint16), kind="stable")
             there = at[order]
             first = np.flatnonzero(np.concatenate([[True], there[1:] != there[:-1]]))
-            return there[first], np.add.reduceat(rows[order], first, axis=0)
+            return there[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
         def move(x: np.ndarray, s: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
-            s[at] += g * g
-            x[at] += np.float32(RATE) * g / np.sqrt(s[at])
+            now = s.take(at, axis=0) + g * g
+            s[at] = now
+            x[at] += np.float32(RATE) * g / np.sqrt(now)
 
         def step(c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> None:
-            q = self.before[0][c1] + self.before[1][c2]
+            q = self.before[0].take(c1, axis=0) + self.before[1].take(c2, axis=0)
             drawn = np.searchsorted(cumulative, rng.random(NOISE)).clip(max=n - 1)
-            mine = self.words[w]
+            mine = self.words.take(w, axis=0)
             good = 1 - 1 / (1 + np.exp(log_noise[w] - np.einsum("ij,ij->i", q, mine) - self.bias[w]))
             noise = self.words[drawn]
-            bad = -1 / (1 + np.exp((log_noise - self.bias)[drawn] - q @ noise.T))
+            bad = q @ noise.T
+            np.subtract((log_noise - self.bias)[drawn], bad, out=bad)
+            np.exp(bad, out=bad)
+            bad += 1
+            np.divide(-1, bad, out=bad)
             dq = good[:, None] * mine + bad @ noise
             # targets and noise meet in one sum, the bias as one more column
-            rows = np.concatenate([np.column_stack([good[:, None] * q, good]), np.column_stack([bad.T @ q, bad.sum(axis=0)])]).astype(np.float32)
+            rows, m = np.empty((len(w) + NOISE, DIM + 1), dtype=np.float32), len(w)
+            np.multiply(good[:, None], q, out=rows[:m, :-1])
+            rows[:m, -1], rows[m:, :-1], rows[m:, -1] = good, bad.T @ q, bad.sum(axis=0)
             at, g = scatter(np.concatenate([w, drawn]), rows)
             move(self.bias, seen[0], at, g[:, -1])
             move(self.words, seen[1], at, g[:, :-1])
@@ -181,6 +189,12 @@ def contexts(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray,
     return c1, c2
 
 
+def unlisted_words(places: np.ndarray, words: list[list[bytes]]) -> list[bytes]:
+    """The words at places of -1, in order; the ends (-2) are not among the words."""
+    flat = list(chain.from_iterable(words))
+    return [flat[i] for i in np.flatnonzero(places[places != -2] == -1).tolist()]
+
+
 class TextScorer:
     """Vocabulary and counts: first the places of the most frequent words, then the classes of all others, then the end."""
 
@@ -219,7 +233,7 @@ class TextScorer:
                 sizes = np.array([len(w) + 1 for w in run])
                 ends = np.cumsum(sizes)
                 get, out = self.places.get, np.empty(int(ends[-1]), dtype=np.int64)
-                flat = np.fromiter((get(x, -1) for w in run for x in w), dtype=np.int64, count=int(ends[-1]) - len(run))
+                flat = np.fromiter(map(get, chain.from_iterable(run), repeat(-1)), dtype=np.int64, count=int(ends[-1]) - len(run))
                 mask = np.ones(len(out), dtype=bool)
                 mask[ends - 1] = False
                 out[mask], out[~mask] = flat, -2
@@ -234,10 +248,7 @@ class TextScorer:
         out = np.full(len(places), self.end, dtype=np.int64)
         listed = places >= 0
         out[listed] = self.class_of[places[listed]]
-        rare = np.flatnonzero(places == -1)
-        if len(rare):
-            flat = [w for ws in words for w in (*ws, END)]
-            out[rare] = [self.own + suffix_class(flat[i]) for i in rare.tolist()]
+        out[places == -1] = [self.own + suffix_class(w) for w in unlisted_words(places, words)]
         return out
 
 
@@ -305,7 +316,7 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT, train_to
                 return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([model.weighted(*met).astype("<f8").tobytes()], pa.binary())], names=["trainer", "p"])
 
             for b in batches:
-                for t, piece, x in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                for t, pieces in trainer_runs(b):
                     if t != at:
                         if model:
                             step.flush()
@@ -313,8 +324,8 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT, train_to
                         at, model = t, start.value.copy()
                         step = Batches(model.trainer(t * 7919 + k))
                         met = np.zeros(len(model.bias)), np.zeros((CONTEXT, len(model.bias)))
-                    ids = np.frombuffer(x, "<u2").astype(np.int64)
-                    before = contexts(ids, np.zeros(1, dtype=np.int64), end)
+                    ids = np.frombuffer(b"".join(pieces), "<u2").astype(np.int64)
+                    before = contexts(ids, np.cumsum([0, *map(len, pieces[:-1])]) // 2, end)
                     step.add(*before, ids)
                     for a, c in ((met[0], ids), (met[1][0], before[0]), (met[1][1], before[1])):
                         a += np.bincount(c, minlength=len(a))
@@ -329,6 +340,20 @@ def fit(texts: DataFrame, vocab: int = VOCAB, frequent: int = FREQUENT, train_to
     return scorer, counts
 
 
+def trainer_runs(b: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """(trainer, pieces) of a batch of `encoded` rows in their order: neighbours of one trainer, about CHUNK tokens at a time."""
+    for t, rows in groupby(zip(b.column(0).to_pylist(), b.column(3).to_pylist(), strict=True), key=lambda r: r[0]):
+        run, size = [], 0
+        for _, x in rows:
+            run.append(x)
+            size += len(x) // 2
+            if size >= CHUNK:
+                yield t, run
+                run, size = [], 0
+        if run:
+            yield t, run
+
+
 class Batches:
     """Hands examples on BATCH at a time, across texts."""
 
@@ -392,9 +417,10 @@ def scored(docs: DataFrame, scorer: TextScorer, counts: DataFrame, id_col: str =
                 at = np.flatnonzero(places == -1)
                 if len(at):
                     text = np.searchsorted(starts, at, side="right") - 1
-                    rare = Counter((int(k), run_[k][i - int(starts[k])]) for k, i in zip(text.tolist(), at.tolist(), strict=True))
+                    rare = Counter(zip(text.tolist(), unlisted_words(places, run_), strict=True))
                     m = len(rare)
-                    yield pa.RecordBatch.from_arrays([pa.array([rows[k] for k, _ in rare]), pa.nulls(m, keys.type), pa.array([t for _, t in rare], pa.binary()), pa.array(list(rare.values()), pa.int64()), pa.array(np.zeros(m, np.int64)), pa.array(np.zeros(m)), pa.array(np.zeros(m))], names=names)
+                    of = rows[np.fromiter((k for k, _ in rare), dtype=np.int64, count=m)]
+                    yield pa.RecordBatch.from_arrays([pa.array(of), pa.nulls(m, keys.type), pa.array([t for _, t in rare], pa.binary()), pa.array(list(rare.values()), pa.int64()), pa.array(np.zeros(m, np.int64)), pa.array(np.zeros(m)), pa.array(np.zeros(m))], names=names)
 
     names = ["row", "id", "token", "n", "known", "base", "score"]
     parts = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"row long, id {kind}, token binary, n long, known long, base double, score double"), "lm-parts")

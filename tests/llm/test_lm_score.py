@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,21 @@ def test_more_equal_tokens_than_places(spark):
     assert (r.n_tokens, r.n_known) == (7, 7) and r.base_score == pytest.approx(7 * math.log10(1.5 / (7 + 0.5 * 8)))
 
 
+def test_joined_pieces_train_as_single_ones(monkeypatch):
+    """Texts of one trainer are read together, in order, with the contexts of each by itself."""
+    monkeypatch.setattr(lm_score, "CHUNK", 40)
+    rnd = np.random.default_rng(7)
+    pieces = [(t, rnd.integers(0, 9, n).astype("<u2").tobytes()) for t in (0, 0, 3, 4) for n in (1, 2, 1, 3, 30, 60, 5, 2)]
+    b = pa.RecordBatch.from_arrays([pa.array([t for t, _ in pieces], pa.int32()), pa.nulls(len(pieces)), pa.nulls(len(pieces)), pa.array([x for _, x in pieces], pa.binary())], names=list("abcd"))
+    runs = list(lm_score.trainer_runs(b))
+    assert [(t, x) for t, run in runs for x in run] == pieces and 3 < len(runs) < len(pieces)
+    for _, run in runs:
+        ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in run]
+        one = [lm_score.contexts(x, np.zeros(1, dtype=np.int64), 9) for x in ids]
+        got = lm_score.contexts(np.concatenate(ids), np.cumsum([0, *map(len, ids[:-1])]), 9)
+        assert all((np.concatenate([o[k] for o in one]) == got[k]).all() for k in range(2))
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     scorer, counts = lm_score.fit(docs.select("text"))
