@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import let, materialize, prefix_sums, words
+from .common import discard, let, materialize, prefix_sums, words
 
 #: Words of a block, slots of an output shard.
 BLOCK = 32
@@ -78,27 +78,32 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def place_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc, source, hash, copy, size, start, source_size): where each row's words begin in its source.
+def document_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(doc, source, hash, size) of every row, written once."""
+    sized = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), text_hash(F.col(text_col)).alias("hash"), F.size(words(F.col(text_col))).cast("long").alias("size"))
+    return materialize(sized, "sizes")
+
+
+def place_documents(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """(doc, source, hash, copy, size, start, source_size, target): where each row's words begin in its source.
 
     The order within a source is by bucket, id and text hash; copy numbers the
     rows that are equal in all three.  Offsets are summed inside buckets and,
     in runs, over buckets, so no task needs a whole source.
     """
-    sized = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), text_hash(F.col(text_col)).alias("hash"), F.size(words(F.col(text_col))).cast("long").alias("size"))
-    sized = materialize(sized, "sizes")
     buckets = max(16, sized.count() // BUCKET_DOCS)
     # the hash spreads rows without an id over the buckets
     sized = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "doc", "hash"), F.lit(buckets)))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    sums = prefix_sums(sums, "in_bucket", "before", "bucket", "source")
-    whole = sized.groupBy(F.col("source").alias("w")).agg(F.sum("size").alias("source_size"))
+    named = targets.withColumnRenamed("source", "w")
+    sums = prefix_sums(materialize(sums, "bucket-sizes"), "in_bucket", "before", "bucket", "source")
     bucket = Window.partitionBy("source", "bucket").orderBy("doc", "hash", "size")
     same = Window.partitionBy("source", "bucket", "doc", "hash").orderBy("size")
     placed = sized.withColumn("offset", F.coalesce(F.sum("size").over(bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("copy", F.row_number().over(same))
-    sums = sums.join(whole, F.col("source").eqNullSafe(F.col("w"))).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size")
+    sums = sums.join(named, F.col("source").eqNullSafe(F.col("w"))).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target")
+    sums = materialize(sums, "bucket-starts")
     joined = placed.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return joined.select("doc", "source", "hash", "copy", "size", (F.col("before") + F.col("offset")).alias("start"), "source_size")
+    return joined.select("doc", "source", "hash", "copy", "size", (F.col("before") + F.col("offset")).alias("start"), "source_size", "target")
 
 
 #: Cells into which a range is cut to find the part of it that holds a place by an equal cell, not by comparing all.
@@ -171,7 +176,7 @@ def draw_slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_
     slots_of = made.select("nr", "shard", "slot") if made is not None else None
     if drawn is not None:
         counts = materialize(drawn.groupBy("nr", "shard").agg(F.count("*").alias("n")), "draws")
-        counts = prefix_sums(counts, "n", "first", "shard", "nr")
+        counts = materialize(prefix_sums(counts, "n", "first", "shard", "nr"), "draw-places")
         extra = counts.select("nr", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
         gotten = counts.groupBy("nr").agg(F.sum("n").alias("drawn"))
         side = room.join(gotten, "nr", "left").withColumn("used", F.col("whole") + F.coalesce("drawn", F.lit(0)))
@@ -204,12 +209,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     repeat an id are rows of their own, told apart by text and copy; a long text
     is cut into blocks like any other; an empty table gives empty results.
     """
-    placed = place_documents(docs, id_col, text_col, source_col)
-    targets = source_targets(placed.groupBy("source").agg(F.max("source_size").alias("source_size")), weights, share)
-    targets = materialize(targets, "targets")
-    named = targets.select(F.col("source").alias("s"), "target")
-    placed = materialize(placed.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "places")
-    slots = draw_slots(targets, block, shard_slots)
+    # each step is written, so that no plan holds all of them: the driver plans a plan anew whenever a part of it ends
+    sized = document_sizes(docs, id_col, text_col, source_col)
+    targets = materialize(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share), "targets")
+    placed = materialize(place_documents(sized, targets), "places")
+    discard(sized)
+    slots = materialize(draw_slots(targets, block, shard_slots), "slots")
     spans = placed.where("size > 0").select("doc", "source", "hash", "copy", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("index"))
     s = slots.select(F.col("source").alias("s"), F.col("index").alias("i"), "epoch", "shard")
     low = F.greatest(F.col("index") * block - F.col("start"), F.lit(0))

@@ -113,3 +113,10 @@ def test_repeated_rows_and_ids(spark):
     assert Counter(r.doc_id for r in out)[1] <= 3
     same = [len(r.text.split()) for r in mixing.mixed_documents(docs.where("text is not null").repartition(3)).collect()]
     assert sorted(same) == sorted(len(r.text.split()) for r in out)
+
+
+def test_no_plan_holds_all_steps(spark):
+    docs = spark.createDataFrame([(*r, 0) for r in corpus()], "doc_id long, text string, source string, n_chars long")
+    for out, most in ((mixing.mixed_documents(docs), 10), (mixing.taken_words(docs), 10)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") <= most and "Range" not in plan, plan.count("Exchange")
