@@ -107,10 +107,14 @@ def normalised_depths(depths: Column) -> Column:
     return F.transform(depths, lambda d: F.lit(1.0) - F.coalesce(F.try_divide(d.cast("double") - low, high.cast("double") - low), F.lit(0.0)))
 
 
+def let(value: Column, body) -> Column:
+    """body of the value, which is worked out once however often body, or a lambda in it, reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _ordered(dets: Column, key) -> Column:
-    """The detections sorted by the key, stably."""
-    keyed = F.transform(dets, lambda d, i: F.struct(key(d).alias("k"), i.alias("i"), d.alias("d")))
-    return F.transform(F.array_sort(keyed, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).when(a["i"] < b["i"], -1).otherwise(1)), lambda x: x["d"])
+    """The detections sorted by the key, which is never null, stably."""
+    return F.transform(F.sort_array(F.transform(dets, lambda d, i: F.struct(key(d).alias("k"), i.alias("i"), d.alias("d")))), lambda x: x["d"])
 
 
 def by_rank(dets: Column, name: str = "depth_rank") -> Column:
@@ -118,18 +122,34 @@ def by_rank(dets: Column, name: str = "depth_rank") -> Column:
     return _ordered(dets, lambda d: F.coalesce(F.nullif(d[name], F.lit(0)), F.lit(UNRANKED)))
 
 
-def suppressed(x: Column, by: Column) -> Column:
-    over = (iou(x["bbox"], by["bbox"]) > IOU_MOST) | ((containment(x["bbox"], by["bbox"]) > CONTAINED_MOST) & share_a_word(x["label"], by["label"]))
-    return has_box(x) & has_box(by) & F.coalesce(over, F.lit(False))
+def _suppressed(x: Column, by: Column) -> Column:
+    """Whether the box x falls to a box by, both as survivors holds them."""
+    w = F.least(x["x2"], by["x2"]) - F.greatest(x["x1"], by["x1"])
+    h = F.least(x["y2"], by["y2"]) - F.greatest(x["y1"], by["y1"])
+
+    def over(cross: Column) -> Column:
+        within = (x["a"] > 0) & (F.try_divide(cross, x["a"]) > CONTAINED_MOST) & share_a_word(x["d"]["label"], by["d"]["label"])
+        return (cross > 0) & (F.coalesce(F.try_divide(cross, x["a"] + by["a"] - cross) > IOU_MOST, F.lit(False)) | F.coalesce(within, F.lit(False)))
+
+    return by["box"] & F.exists(F.array(F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))), over)
 
 
 def survivors(dets: Column, kind: str) -> Column:
     """Greedy suppression from the largest box down; what has no box stays and suppresses nothing.
 
-    A box falls only to a box that was kept, so the fold carries the kept ones.
+    A box falls only to a box that was kept, so the fold carries the kept ones,
+    each beside its corners and area.
     """
-    ordered = _ordered(dets, lambda d: F.when(has_box(d), -area(d["bbox"])).otherwise(F.lit(0.0)))
-    return F.aggregate(ordered, F.array().cast(kind), lambda kept, x: F.when(F.exists(kept, lambda k: suppressed(x, k)), kept).otherwise(F.concat(kept, F.array(x))))
+
+    def keyed(d: Column, i: Column) -> Column:
+        corners = [x_of(d["bbox"], k).alias(n) for k, n in enumerate(("x1", "y1", "x2", "y2"))]
+        key = F.coalesce(F.when(has_box(d), -area(d["bbox"])), F.lit(0.0))
+        return F.struct(key.alias("k"), i.alias("i"), has_box(d).alias("box"), area(d["bbox"]).alias("a"), *corners, d.alias("d"))
+
+    held = f"array<struct<k:double,i:int,box:boolean,a:double,x1:double,y1:double,x2:double,y2:double,d:{kind[len('array<'):-1]}>>"
+    falls = lambda kept, x: x["box"] & F.exists(kept, lambda k: _suppressed(x, k))
+    add = lambda kept, x: F.when(falls(kept, x), kept).otherwise(F.concat(kept, F.array(x)))
+    return F.transform(F.aggregate(F.sort_array(F.transform(dets, keyed)), F.array().cast(held), add), lambda x: x["d"])
 
 
 def top(dets: Column, n: int = 25) -> Column:
@@ -150,43 +170,57 @@ def detection_for(dets: Column, label: Column, position: Column) -> Column:
     return F.coalesce(F.try_element_at(at, F.lit(-1)), F.get(by_rank(same), F.lit(0)))
 
 
-def ranks(dets: Column, key) -> Column:
-    """For each detection its place, from 1, in a stable order of the key; detections without a key come last."""
+def ranked_places(dets: Column, key) -> Column:
+    """The places in dets, from 0, in a stable order of the key; detections without a key come last."""
     keyed = F.transform(dets, lambda d, i: F.struct(key(d).isNull().alias("none"), key(d).alias("k"), i.alias("i")))
-    order = F.transform(F.array_sort(keyed), lambda x: x["i"])
-    return F.transform(dets, lambda d, i: F.array_position(order, i).cast("int"))
+    return F.transform(F.sort_array(keyed), lambda x: x["i"])
 
 
-def with_geometry(found: Column, width: Column, height: Column) -> Column:
-    """Detections (label, bbox, confidence, depth_value, mask_area) with position, ranks and free space added."""
-    deep, wide = ranks(found, lambda d: d["depth_value"]), ranks(found, lambda d: -d["mask_area"])
-    boxes = F.transform(found, lambda d: d["bbox"])
+def with_geometry(found: Column, width: Column, height: Column, *more: str) -> Column:
+    """Detections (label, bbox, confidence, depth_value, mask_area) with position, ranks and free space added; more names fields that stay, last."""
 
-    def one(d: Column, i: Column) -> Column:
+    def one(d: Column, i: Column, all_: Column) -> Column:
+        place = lambda order: F.array_position(order, i).cast("int")
         return F.struct(
             d["label"].alias("label"), d["bbox"].alias("bbox"), d["confidence"].alias("confidence"), d["depth_value"].alias("depth_value"),
             position(horizontal(d["bbox"], width), vertical(d["depth_value"])).alias("position"),
-            F.when(d["depth_value"].isNull(), 0).otherwise(F.get(deep, i)).alias("depth_rank"), F.get(wide, i).alias("area_rank"),
-            free_space(d["label"], free_sides(d["bbox"], boxes, width, height)).alias("free_space"),
+            F.when(d["depth_value"].isNull(), 0).otherwise(place(all_["deep"])).alias("depth_rank"), place(all_["wide"]).alias("area_rank"),
+            free_space(d["label"], free_sides(d["bbox"], all_["edges"], width, height)).alias("free_space"), *[d[n].alias(n) for n in more],
         )
 
-    return F.transform(found, one)
+    # both orders and the edges belong to the image: inside the lambda each would be worked out for each detection
+    deep, wide = ranked_places(found, lambda d: d["depth_value"]), ranked_places(found, lambda d: -d["mask_area"])
+    return let(F.struct(deep.alias("deep"), wide.alias("wide"), edges(found).alias("edges")), lambda all_: F.transform(found, lambda d, i: one(d, i, all_)))
+
+
+def _edges(box: Column) -> list[Column]:
+    x1, y1, x2, y2 = (x_of(box, i) for i in range(4))
+    return [x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), ((x1 + x2) / 2).alias("cx"), ((y1 + y2) / 2).alias("cy")]
+
+
+def edges(dets: Column) -> Column:
+    """For each detection its corners and middle."""
+    return F.transform(dets, lambda d: F.struct(*_edges(d["bbox"])))
 
 
 def free_sides(box: Column, others: Column, width: Column, height: Column) -> Column:
-    """Sides whose edge keeps a quarter of the image clear and to which no aligned neighbour comes closer than that."""
+    """Sides whose edge keeps a quarter of the image clear and to which no aligned neighbour, of which others has the edges, comes closer than that."""
+
+    def clear_of(b: Column) -> Column:
+        level = lambda o: F.abs(o["cy"] - b["cy"]) < b["h"]
+        plumb = lambda o: F.abs(o["cx"] - b["cx"]) < b["w"]
+        sides = (
+            ("left", b["x1"] > mx, lambda o: (o["cx"] < b["cx"]) & (o["x2"] > b["left"]) & level(o)),
+            ("right", b["x2"] < width - mx, lambda o: (o["cx"] > b["cx"]) & (o["x1"] < b["right"]) & level(o)),
+            ("above", b["y1"] > my, lambda o: (o["cy"] < b["cy"]) & (o["y2"] > b["above"]) & plumb(o)),
+            ("below", b["y2"] < height - my, lambda o: (o["cy"] > b["cy"]) & (o["y1"] < b["below"]) & plumb(o)),
+        )
+        return F.array_compact(F.array(*[F.when(clear & ~F.exists(others, blocks), name) for name, clear, blocks in sides]))
+
     x1, y1, x2, y2 = (x_of(box, i) for i in range(4))
     mx, my = width * MARGIN, height * MARGIN
-    middle = lambda b, i: (x_of(b, i) + x_of(b, i + 2)) / 2
-    level = lambda o: F.abs(middle(o, 1) - middle(box, 1)) < y2 - y1
-    plumb = lambda o: F.abs(middle(o, 0) - middle(box, 0)) < x2 - x1
-    sides = (
-        ("left", x1 > mx, lambda o: (middle(o, 0) < middle(box, 0)) & level(o) & (x_of(o, 2) > x1 - mx)),
-        ("right", x2 < width - mx, lambda o: (middle(o, 0) > middle(box, 0)) & level(o) & (x_of(o, 0) < x2 + mx)),
-        ("above", y1 > my, lambda o: (middle(o, 1) < middle(box, 1)) & plumb(o) & (x_of(o, 3) > y1 - my)),
-        ("below", y2 < height - my, lambda o: (middle(o, 1) > middle(box, 1)) & plumb(o) & (x_of(o, 1) < y2 + my)),
-    )
-    return F.array_compact(F.array(*[F.when(clear & ~F.exists(others, blocks), name) for name, clear, blocks in sides]))
+    near = [(x1 - mx).alias("left"), (x2 + mx).alias("right"), (y1 - my).alias("above"), (y2 + my).alias("below")]
+    return let(F.struct(*_edges(box), (x2 - x1).alias("w"), (y2 - y1).alias("h"), *near), clear_of)
 
 
 def free_space(label: Column, sides: Column) -> Column:
@@ -208,5 +242,8 @@ def scene_text(dets: Column) -> Column:
             F.lit(" area_rank="), d["area_rank"].cast("string"), F.when(d["free_space"] != "", F.concat(F.lit("\n   "), d["free_space"])).otherwise(""),
         )
 
-    head = F.concat(F.lit("SCENE GRAPH ("), F.size(dets).cast("string"), F.lit(" objects detected):"))
-    return F.when(F.size(dets) == 0, "SCENE GRAPH: No objects detected.").otherwise(F.concat_ws("\n", head, F.array_join(F.transform(by_rank(dets), line), "\n")))
+    def text(dets: Column) -> Column:
+        head = F.concat(F.lit("SCENE GRAPH ("), F.size(dets).cast("string"), F.lit(" objects detected):"))
+        return F.when(F.size(dets) == 0, "SCENE GRAPH: No objects detected.").otherwise(F.concat_ws("\n", head, F.array_join(F.transform(by_rank(dets), line), "\n")))
+
+    return let(dets, text)

@@ -44,11 +44,8 @@ def lists(rows: DataFrame, *cols: str) -> DataFrame:
 
 def images(rows: DataFrame) -> DataFrame:
     """(image, dets): the detections of each image in order, with ranks, positions and free space."""
-    found = lists(placed(ranked(rows)), "label", "bbox", "confidence", "depth_value", "position", "depth_rank", "area_rank")
-    names = ("label", "bbox", "confidence", "depth_value", "position", "depth_rank", "area_rank")
-    clear = lambda x: g.free_space(x["label"], g.free_sides(x["bbox"], F.col("boxes"), F.lit(WIDTH), F.lit(HEIGHT)))
-    full = F.transform("dets", lambda x: F.struct(*[x[n].alias(n) for n in names], clear(x).alias("free_space"), x["idx"].alias("idx")))
-    return found.withColumn("boxes", F.transform("dets", lambda o: o["bbox"])).select("image", full.alias("dets"))
+    found = lists(rows, "label", "bbox", "confidence", "depth_value", "mask_area")
+    return found.select("image", g.with_geometry(F.col("dets"), F.lit(WIDTH), F.lit(HEIGHT), "idx").alias("dets"))
 
 
 def suppressed_images(rows: DataFrame) -> DataFrame:

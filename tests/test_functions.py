@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import time
 from pathlib import PurePosixPath
 
 import pytest
@@ -135,3 +136,40 @@ def test_crop_verdict_and_order(spark):
     out = objs.select(semantic.in_scene_order(F.col("o"), F.col("l")).alias("r")).collect()
     assert [[o.label for o in x.r] for x in out] == [["a", "B", "b", "x"], ["z", "a"]]
     assert one(spark, " . cat | big dog|car .", semantic.normalised_tags) == "cat . big dog.car"
+
+
+def plain_geometry(dets, width, height):
+    """(depth_rank, area_rank, free sides) of each detection."""
+    deep = sorted(range(len(dets)), key=lambda i: (dets[i]["depth_value"] is None, dets[i]["depth_value"] or 0.0, i))
+    wide = sorted(range(len(dets)), key=lambda i: (-dets[i]["mask_area"], i))
+    out = []
+    for i, d in enumerate(dets):
+        x1, y1, x2, y2 = d["bbox"]
+        sides = {"left": x1 > width / 4, "right": x2 < width - width / 4, "above": y1 > height / 4, "below": y2 < height - height / 4}
+        for o in dets:
+            a1, b1, a2, b2 = o["bbox"]
+            dx, dy = (a1 + a2) / 2 - (x1 + x2) / 2, (b1 + b2) / 2 - (y1 + y2) / 2
+            sides["left"] &= not (dx < 0 and abs(dy) < y2 - y1 and a2 > x1 - width / 4)
+            sides["right"] &= not (dx > 0 and abs(dy) < y2 - y1 and a1 < x2 + width / 4)
+            sides["above"] &= not (dy < 0 and abs(dx) < x2 - x1 and b2 > y1 - height / 4)
+            sides["below"] &= not (dy > 0 and abs(dx) < x2 - x1 and b1 < y2 + height / 4)
+        out.append((0 if d["depth_value"] is None else deep.index(i) + 1, wide.index(i) + 1, [s for s, clear in sides.items() if clear]))
+    return out
+
+
+def test_geometry_of_many_detections(spark):
+    """Orders and edges are worked out once for an image: once for each pair of detections, one image of 500 took minutes."""
+    rnd, images = random.Random(5), []
+    for n in [*range(9)] * 5 + [500]:
+        dets = []
+        for _ in range(n):
+            x, y, w = rnd.randint(0, 60) * 4.0, rnd.randint(0, 40) * 4.0, rnd.randint(1, 9) * 4.0 / (1 + n // 100)
+            dets.append({"label": rnd.choice(["cup", "dog"]), "bbox": [x, y, x + w, y + w], "confidence": 0.5, "depth_value": rnd.choice([None, 0.1, 0.2, 0.5]), "mask_area": float(rnd.randint(1, 5))})
+        images.append((len(images), dets))
+    df = spark.createDataFrame(images, "image int, dets array<struct<label:string,bbox:array<double>,confidence:double,depth_value:double,mask_area:double>>").repartition(1)
+    began = time.time()
+    got = {r.image: r.g for r in df.select("image", g.with_geometry(F.col("dets"), F.lit(280.0), F.lit(180.0)).alias("g")).collect()}
+    assert time.time() - began < 40
+    for i, dets in images:
+        text = [f"Clear space {', '.join(s)} of the {d['label']}." if s else f"Limited clear space immediately around the {d['label']}." for d, (_, _, s) in zip(dets, plain_geometry(dets, 280.0, 180.0), strict=True)]
+        assert [(d.depth_rank, d.area_rank, d.free_space) for d in got[i]] == [(*p[:2], t) for p, t in zip(plain_geometry(dets, 280.0, 180.0), text, strict=True)], i
