@@ -104,6 +104,6 @@ def scene_columns(rows: DataFrame, least: int = 2, keys: tuple[str, ...] = ("fil
 def rebuilt(rows: DataFrame) -> DataFrame:
     """rows with scene_graph written anew from scene_detections; where those are no detections, the old text stays."""
     parsed = F.from_json("scene_detections", f"array<{STORED}>")
-    broken = F.try_parse_json("scene_detections").isNull() | ~F.schema_of_variant(F.try_parse_json("scene_detections")).like("ARRAY%")
+    broken = ~F.coalesce(F.schema_of_variant(F.try_parse_json("scene_detections")).like("ARRAY%"), F.lit(False))
     text = g.scene_text(g.survivors(parsed, f"array<{STORED}>"))
     return rows.withColumn("scene_graph", kept_on_error(text, F.col("scene_graph"), broken))

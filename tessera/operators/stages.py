@@ -93,7 +93,7 @@ def is_missing(value: Column, kind: str) -> Column:
 
 def kept_on_error(new: Column, old: Column, failed: Column) -> Column:
     """A recomputed value, or the old one where that failed."""
-    return F.when(F.coalesce(failed, F.lit(False)) | new.isNull(), old).otherwise(new)
+    return F.coalesce(F.when(~F.coalesce(failed, F.lit(False)), new), old)  # new is read once, so it is worked out once
 
 
 def download_reason(error: Column, width: Column, height: Column, least: int = 4096) -> Column:

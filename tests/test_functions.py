@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
 from tessera.functions import keys, responses, semantic
-from tessera.operators import backends, stages
+from tessera.operators import backends, scenes, stages
 from tessera.plans.detections import KIND
 from tessera.sources.annotations import annotation_array, shard_of
 from tessera.streaming.ingest import ingest
@@ -173,3 +173,12 @@ def test_geometry_of_many_detections(spark):
     for i, dets in images:
         text = [f"Clear space {', '.join(s)} of the {d['label']}." if s else f"Limited clear space immediately around the {d['label']}." for d, (_, _, s) in zip(dets, plain_geometry(dets, 280.0, 180.0), strict=True)]
         assert [(d.depth_rank, d.area_rank, d.free_space) for d in got[i]] == [(*p[:2], t) for p, t in zip(plain_geometry(dets, 280.0, 180.0), text, strict=True)], i
+
+
+def test_rebuilding_suppresses_once(spark):
+    """The plan holds the fold of suppression once, however often its result is read."""
+    rows = spark.createDataFrame([("a", "old", '[{"label": "cup", "bbox": [0, 0, 9, 9]}]'), ("b", "old", "[{broken"), ("c", "old", "{}"), ("d", "old", None), ("e", "old", "null"), ("f", "old", "[]")], "filename string, scene_graph string, scene_detections string")
+    found = scenes.rebuilt(rows)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    got = {r.filename: r.scene_graph for r in found.collect()}
+    assert {k for k, v in got.items() if v == "old"} >= {"b", "c", "d", "e"} and got["f"] == "SCENE GRAPH: No objects detected."
