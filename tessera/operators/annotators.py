@@ -58,7 +58,7 @@ def annotated(rows: DataFrame, pipeline: str, make: Callable[[], Backend], image
     plan = PIPELINES[pipeline]
     names = list(plan.captions)
     out = rows.withColumns({f"__p_{n}": prompt_of(n, t, prompt) for n, t in plan.captions.items()})
-    out = answered(out, {n: f"__p_{n}" for n in names}, make, image, at_once)
+    out = answered(out, {n: f"__p_{n}" for n in names}, make, image, at_once).drop(*[f"__p_{n}" for n in names])  # the next call's workers need no old prompts
     if pipeline == "semantic":
         out = out.withColumns({n: F.nullif(responses.strip(F.col(n)), F.lit("")) for n in names})
     failed = [F.col(f"{n}_error") for n in names]
@@ -69,7 +69,7 @@ def annotated(rows: DataFrame, pipeline: str, make: Callable[[], Backend], image
         failed += [F.col(f"__s_{n}_error") for n in names]
         out = out.withColumns({n: F.when(~wrong[n], F.col(n)) for n in names})
     error = F.coalesce(*failed) if plan.strict else F.lit(None).cast("string")
-    helpers = [c for c in out.columns if c.startswith(("__p_", "__v_", "__s_")) or c in {f"{n}_error" for n in names}]
+    helpers = [c for c in out.columns if c.startswith(("__v_", "__s_")) or c in {f"{n}_error" for n in names}]
     return out.withColumn("__error", error).drop(*helpers, "error").withColumnRenamed("__error", "error")
 
 

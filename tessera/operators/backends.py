@@ -18,6 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import Config
 
+#: Rows of an Arrow batch that are Python objects at a time.
+ROWS_AT_ONCE = 256
 #: Characters of an error message that are kept.
 ERROR_CHARS = 200
 
@@ -135,12 +137,13 @@ def message(e: Exception) -> str:
 def answered(rows: DataFrame, prompts: dict[str, str], make: Callable[[], Backend], image: str | None = None, at_once: int = 8, profile: ResourceProfile | None = None) -> DataFrame:
     """rows with an answer for each prompt: prompts names the columns of answers and, for each, that of its prompt.
 
-    The calls of a batch, all prompts of all its rows, run at_once at a time.  A
-    failing call gives a null answer and a message in `<answer>_error`, and fails
-    nothing else; a null prompt is not asked.  image names a column of bytes;
-    columns with the names made here are replaced.  The plan asks again where a
-    task is repeated, so results are written before they are read twice.  profile
-    asks for executors with accelerators.
+    The calls of ROWS_AT_ONCE rows, all their prompts, run at_once at a time; a
+    worker holds the objects and answers of these rows only.  A failing call gives
+    a null answer and a message in `<answer>_error`, and fails nothing else; a
+    null prompt is not asked.  image names a column of bytes; columns with
+    the names made here are replaced.  The plan asks again where a task is
+    repeated, so results are written before they are read twice.  profile asks for
+    executors with accelerators.
     """
     names = [n for out in prompts for n in (out, f"{out}_error")]
     kept, schema = with_columns(rows, [n for n in names if n not in prompts.values()])
@@ -159,7 +162,7 @@ def answered(rows: DataFrame, prompts: dict[str, str], make: Callable[[], Backen
                 return None, message(e)
 
         with ThreadPoolExecutor(at_once) as pool:
-            for b in batches:
+            for b in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, max(whole.num_rows, 1), ROWS_AT_ONCE)):
                 images = [x or b"" for x in b.column(picture).to_pylist()] if picture is not None else [b""] * b.num_rows
                 asked = {out: pool.map(one, zip(images, b.column(places[p]).to_pylist(), strict=True)) for out, p in prompts.items()}
                 cols = [pa.array(c, pa.string()) for got in asked.values() for c in (list(zip(*list(got), strict=True)) or [[], []])]

@@ -182,3 +182,22 @@ def test_rebuilding_suppresses_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
     got = {r.filename: r.scene_graph for r in found.collect()}
     assert {k for k, v in got.items() if v == "old"} >= {"b", "c", "d", "e"} and got["f"] == "SCENE GRAPH: No objects detected."
+
+
+class CountingBackend:
+    """Says how many calls of its worker wait, are run or are kept."""
+
+    def call(self, image, prompt):
+        import gc
+        from concurrent.futures import Future
+
+        time.sleep(0.001)
+        return str(sum(type(o) is Future for o in gc.get_objects())) if int(prompt) % 500 == 499 else "0"
+
+
+def test_calls_do_not_pile_up(spark):
+    """All calls of an Arrow batch, 10,000 rows, used to wait at once."""
+    rows = spark.range(3000).coalesce(1).select("id", F.col("id").cast("string").alias("prompt"))
+    got = backends.answered(rows, {"said": "prompt"}, CountingBackend).collect()
+    assert [r.id for r in got] == list(range(3000)) and all(r.said_error is None for r in got)
+    assert 0 < max(int(r.said) for r in got) <= 2 * backends.ROWS_AT_ONCE
