@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,13 +12,36 @@ WIDTH, HEIGHT = 280.0, 180.0
 KIND = "array<struct<label:string,bbox:array<double>,confidence:double,depth_value:double,position:string,depth_rank:int,area_rank:int,free_space:string,idx:int>>"
 
 
+#: Bytes of a table's files for each partition that its rows are dealt to: some 200,000 lines.
+DEALT_BYTES = 4 << 20
+
+
+def file_bytes(table: DataFrame) -> int:
+    """The size of a table as the planner takes it from its files."""
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def deals(table: DataFrame) -> int:
+    """Partitions of DEALT_BYTES each, so that a task's memory does not grow with the table; 0 where the session's own number is enough."""
+    n = -(-file_bytes(table) // DEALT_BYTES)
+    return n if n > int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
+def dealt(rows: DataFrame, n: int, *keys: Column) -> DataFrame:
+    return rows.repartition(n, *keys) if n else rows
+
+
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(image, idx, label, bbox, confidence, depth_value, mask_area)."""
+    """(image, idx, label, bbox, confidence, depth_value, mask_area); of large tables the rows are dealt by image."""
     lines, parts = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part"))
+    n, parts = deals(lines), parts.select("p_partkey", "p_name")
+    if n and file_bytes(parts) > spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold():
+        # the parts of a partition as a hash table: the lines, many times as many, are not sorted for the join
+        lines, parts = dealt(lines, n, F.col("l_partkey")), parts.hint("shuffle_hash")
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     x, y = (F.col("l_partkey") % 8 * 20).cast("double"), (F.col("l_suppkey") % 6 * 20).cast("double")
     depth = F.when(~((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 7)), F.col("l_discount") * 10)
-    rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    rows = dealt(lines.join(parts, F.col("l_partkey") == F.col("p_partkey")), n, F.col("l_orderkey"))
     bbox = F.array(x, y, x + 40 + 2 * F.col("l_quantity"), y + 30 + F.col("l_quantity"))
     return rows.select(
         F.col("l_orderkey").alias("image"), F.row_number().over(order).alias("idx"), F.col("p_name").alias("label"), bbox.alias("bbox"),

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tessera.plans import catalog, stage_queries  # noqa: F401
+from tessera.plans import catalog, detections, stage_queries  # noqa: F401
 
 S = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,3 +36,24 @@ def test_query_equals_sql(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["n_objects"])
+def test_large_tables_are_dealt(spark, tmp_path, monkeypatch, name):
+    """Tables that count as large are dealt into partitions of bounded size, with the same results; lines of unknown parts are lines still."""
+    con = duckdb.connect()
+    for t in ("lineitem", "part", "orders"):
+        replaced = "* replace (l_partkey + if(l_orderkey % 5 = 0, 1000000, 0) as l_partkey)" if t == "lineitem" else "*"
+        con.sql(f"copy (select {replaced} from '{S}/{t}.parquet') to '{tmp_path}/{t}.parquet' (format parquet)")
+        con.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet'")
+    monkeypatch.setattr(detections, "DEALT_BYTES", 4096)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        n = -(-(tmp_path / "lineitem.parquet").stat().st_size // 4096)
+        found = catalog.QUERIES[name](spark, str(tmp_path))
+        rows = sorted(map(str, con.sql(catalog.ORACLE_SQL[name]).project(", ".join(found.columns)).fetchall()))
+        assert sorted(str(tuple(r)) for r in found.collect()) == rows and rows
+        assert f", {n}), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
